@@ -3,6 +3,13 @@
 Every function takes an explicit ``as_of`` day (the run day, "today") and
 reads only the time range it needs; the bound is written on the raw ``time``
 column so the scan skips everything else.
+
+Most metrics only need *who was active on which day*. ``user_days`` reduces
+events to one row per (user, [source,] day) with an action count; the
+``*_from_days`` functions work on that rollup, and the event-level functions
+are thin compositions of the two. A daily job can therefore build (or append
+one day to) the rollup once and derive every report table from it instead of
+scanning the full event history once per table.
 """
 
 from __future__ import annotations
@@ -18,6 +25,29 @@ FEED = "feed"
 MESSAGE = "message"
 
 
+# ------------------------------------------------------------------ rollup
+
+def user_days(events: DataFrame, until=None, by_source: bool | None = None) -> DataFrame:
+    """One row per (user_id, [source,] day) with ``actions`` = events that day.
+
+    ``until`` (exclusive day) bounds the scan. ``by_source`` defaults to
+    whether the table has a ``source`` column. Map-side partial aggregation
+    makes the shuffle carry at most one row per key per task.
+    """
+    if by_source is None:
+        by_source = "source" in events.columns
+    src = events if until is None else events.where(time_between(events, None, until))
+    keys = ["user_id", "source"] if by_source else ["user_id"]
+    return (src.groupBy(*keys, F.to_date("time").alias("day"))
+            .agg(F.count(F.lit(1)).alias("actions")))
+
+
+def _before(days: DataFrame, as_of) -> DataFrame:
+    return days.where(F.col("day") < F.lit(as_date(as_of).isoformat()).cast("date"))
+
+
+# ------------------------------------------------------------------ one day
+
 def feed_metrics(feed: DataFrame, as_of) -> DataFrame:
     """Yesterday's feed metrics: day, dau, views, likes, ctr.
 
@@ -41,24 +71,27 @@ def msg_metrics(messages: DataFrame, as_of) -> DataFrame:
                  F.count("receiver_id").alias("msgs_sent")))
 
 
-def _user_days(df: DataFrame, as_of, service: str) -> DataFrame:
-    return (df.where(time_between(df, None, as_of))
-            .select("user_id", F.to_date("time").alias("day"))
-            .distinct()
-            .withColumn("source", F.lit(service)))
+# ------------------------------------------------------------------ DAU
+
+def dau_from_days(feed_days: DataFrame, msg_days: DataFrame, as_of) -> DataFrame:
+    """``dau_by_source`` over (user, [source,] day) rollups."""
+    def active(days, service):
+        return (_before(days, as_of).select("user_id", "day").distinct()
+                .withColumn("source", F.lit(service)))
+
+    both = active(feed_days, FEED).unionByName(active(msg_days, MESSAGE))
+    return (both.groupBy("day", "source")
+            .agg(F.count(F.lit(1)).alias("users"))
+            .orderBy("day", "source"))
 
 
 def dau_by_source(feed: DataFrame, messages: DataFrame, as_of) -> DataFrame:
     """Daily active users per service for every day before ``as_of``.
 
-    Columns: day, source ('feed' or 'message'), users. Each service is
-    de-duplicated to (user, day) first (map-side partial aggregation), so
-    the final count per (day, source) is a plain count.
+    Columns: day, source ('feed' or 'message'), users.
     """
-    both = _user_days(feed, as_of, FEED).unionByName(_user_days(messages, as_of, MESSAGE))
-    return (both.groupBy("day", "source")
-            .agg(F.count(F.lit(1)).alias("users"))
-            .orderBy("day", "source"))
+    return dau_from_days(user_days(feed, as_of, by_source=False),
+                         user_days(messages, as_of, by_source=False), as_of)
 
 
 def dau_matrix(dau: DataFrame, sources=(FEED, MESSAGE)) -> DataFrame:
@@ -67,20 +100,15 @@ def dau_matrix(dau: DataFrame, sources=(FEED, MESSAGE)) -> DataFrame:
             .agg(F.sum("users")).orderBy("day"))
 
 
-def actions_per_day(feed: DataFrame, messages: DataFrame, as_of) -> DataFrame:
-    """Per day over both services: unique_users, total_actions, actions_per_user.
+# ------------------------------------------------------------------ actions
 
-    A user active in both services on one day counts once. The two event
-    streams are unioned as (day, user_id) rows and counted per (day, user)
-    in one aggregation, so the per-day step is a count and a sum instead of a
-    distinct count.
-    """
-    def rows(df):
-        return (df.where(time_between(df, None, as_of))
-                .select(F.to_date("time").alias("day"), "user_id"))
+def actions_from_days(feed_days: DataFrame, msg_days: DataFrame, as_of) -> DataFrame:
+    """``actions_per_day`` over rollups: sum actions per (day, user), then per day."""
+    def rows(days):
+        return _before(days, as_of).select("day", "user_id", "actions")
 
-    per_user = (rows(messages).unionByName(rows(feed))
-                .groupBy("day", "user_id").agg(F.count(F.lit(1)).alias("actions_cnt")))
+    per_user = (rows(msg_days).unionByName(rows(feed_days))
+                .groupBy("day", "user_id").agg(F.sum("actions").alias("actions_cnt")))
     return (per_user.groupBy("day")
             .agg(F.count(F.lit(1)).alias("unique_users"),
                  F.sum("actions_cnt").alias("total_actions"))
@@ -89,6 +117,19 @@ def actions_per_day(feed: DataFrame, messages: DataFrame, as_of) -> DataFrame:
             .orderBy("day"))
 
 
+def actions_per_day(feed: DataFrame, messages: DataFrame, as_of) -> DataFrame:
+    """Per day over both services: unique_users, total_actions, actions_per_user.
+
+    A user active in both services on one day counts once. Events are counted
+    per (day, user) first, so the per-day step is a count and a sum rather
+    than a distinct count.
+    """
+    return actions_from_days(user_days(feed, as_of, by_source=False),
+                             user_days(messages, as_of, by_source=False), as_of)
+
+
+# ------------------------------------------------------------------ posts
+
 def unique_posts_per_day(feed: DataFrame, as_of) -> DataFrame:
     """Distinct posts acted on per day before ``as_of``: day, unique_posts."""
     return (feed.where(time_between(feed, None, as_of))
@@ -97,22 +138,17 @@ def unique_posts_per_day(feed: DataFrame, as_of) -> DataFrame:
             .orderBy("day"))
 
 
-def new_users_by_source(feed: DataFrame, until=None) -> DataFrame:
-    """Users active on a day in a traffic source but not the day before.
+# ------------------------------------------------------------------ new users
 
-    Columns: this_day, previous_day, num_users, status ('new'), source.
-    "New" means absent on the previous day, not first ever. There is no date
-    bound unless ``until`` (exclusive day) is given.
+def new_users_from_days(feed_days: DataFrame) -> DataFrame:
+    """``new_users_by_source`` over a (user_id, source, day) rollup.
 
-    Plan: distinct (user, source, day) with map-side partial aggregation, then
-    ``lag`` over (user, source) ordered by day. A window group holds one row
+    ``lag`` over (user, source) ordered by day: a window group holds one row
     per active day of one user, so no group grows with the event volume.
     """
-    src = feed if until is None else feed.where(time_between(feed, None, until))
-    days = src.select("user_id", "source", F.to_date("time").alias("this_day")).distinct()
+    days = feed_days.select("user_id", "source", F.col("day").alias("this_day"))
     w = Window.partitionBy("user_id", "source").orderBy("this_day")
-    prev = F.lag("this_day").over(w)
-    return (days.withColumn("prev_day", prev)
+    return (days.withColumn("prev_day", F.lag("this_day").over(w))
             .where(F.col("prev_day").isNull()
                    | (F.col("prev_day") != F.date_sub("this_day", 1)))
             .groupBy("this_day", "source")
@@ -125,6 +161,16 @@ def new_users_by_source(feed: DataFrame, until=None) -> DataFrame:
             .orderBy("this_day", "source"))
 
 
+def new_users_by_source(feed: DataFrame, until=None) -> DataFrame:
+    """Users active on a day in a traffic source but not the day before.
+
+    Columns: this_day, previous_day, num_users, status ('new'), source.
+    "New" means absent on the previous day, not first ever. There is no date
+    bound unless ``until`` (exclusive day) is given.
+    """
+    return new_users_from_days(user_days(feed, until, by_source=True))
+
+
 def new_users_matrix(new_users: DataFrame, sources=None) -> DataFrame:
     """Day x traffic-source matrix of ``new_users_by_source``.
 

@@ -28,16 +28,26 @@ from ..functions.dates import as_date, monday, time_between
 STATUSES = ("gone", "new", "retained")
 
 
-def _week_counts(feed: DataFrame, as_of, weeks: int) -> DataFrame:
+def _scan_range(as_of, weeks: int):
     if not 1 <= weeks <= 60:
         raise ValueError("weeks must be in 1..60 (one bit per week in a bigint)")
-    m = monday(as_of)
-    first = m - dt.timedelta(weeks=weeks + 1)        # bit 0
-    end = as_date(as_of) + dt.timedelta(days=1)      # the whole as_of day
-    bit = F.floor(F.datediff(F.trunc(F.to_date("time"), "week"),
+    first = monday(as_of) - dt.timedelta(weeks=weeks + 1)     # bit 0
+    end = as_date(as_of) + dt.timedelta(days=1)               # the whole as_of day
+    return first, end
+
+
+def _week_counts(feed: DataFrame, as_of, weeks: int, from_days: bool = False) -> DataFrame:
+    first, end = _scan_range(as_of, weeks)
+    if from_days:
+        lo, hi = (F.lit(d.isoformat()).cast("date") for d in (first, end))
+        src = feed.where((F.col("day") >= lo) & (F.col("day") < hi)).select(
+            "user_id", F.col("day").alias("d"))
+    else:
+        src = feed.where(time_between(feed, first, end)).select(
+            "user_id", F.to_date("time").alias("d"))
+    bit = F.floor(F.datediff(F.trunc("d", "week"),
                              F.lit(first.isoformat()).cast("date")) / 7).cast("int")
-    masks = (feed.where(time_between(feed, first, end))
-             .select("user_id", bit.alias("k"))
+    masks = (src.select("user_id", bit.alias("k"))
              .groupBy("user_id").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("mask")))
 
     def on(j):
@@ -63,6 +73,11 @@ def _week_counts(feed: DataFrame, as_of, weeks: int) -> DataFrame:
             .where(F.col("num_users") != 0))
 
 
+def audience_from_days(feed_days: DataFrame, as_of, weeks: int = 8) -> DataFrame:
+    """``weekly_audience`` over a (user_id, [source,] day) rollup."""
+    return _week_counts(feed_days, as_of, weeks, from_days=True).orderBy("this_week", "status")
+
+
 def weekly_gone(feed: DataFrame, as_of, weeks: int = 8) -> DataFrame:
     """Churned users per week (negative counts): this_week, previous_week, num_users, status."""
     return (_week_counts(feed, as_of, weeks).where(F.col("status") == "gone")

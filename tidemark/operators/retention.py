@@ -52,15 +52,20 @@ def first_seen_update(first_seen: DataFrame, feed: DataFrame, day) -> DataFrame:
     return first_seen.select("user_id", "start_day").unionByName(fresh)
 
 
-def _cohort_counts(feed: DataFrame, as_of, cohorts: int) -> tuple[DataFrame, dt.date]:
+def _cohort_counts(feed: DataFrame, as_of, cohorts: int,
+                   from_days: bool = False) -> tuple[DataFrame, dt.date]:
     if not 1 <= cohorts <= 60:
         raise ValueError("cohorts must be in 1..60")
     a = as_date(as_of)
     lo = a - dt.timedelta(days=cohorts)
     lo_lit = F.lit(lo.isoformat()).cast("date")
-    day = F.to_date("time")
-    users = (feed.where(time_between(feed, None, a + dt.timedelta(days=1)))
-             .select("user_id", day.alias("day"))
+    end = a + dt.timedelta(days=1)
+    if from_days:
+        src = feed.where(F.col("day") < F.lit(end.isoformat()).cast("date"))
+    else:
+        src = feed.where(time_between(feed, None, end)).select(
+            "user_id", F.to_date("time").alias("day"))
+    users = (src.select("user_id", "day")
              .groupBy("user_id")
              .agg(F.min("day").alias("start_day"),
                   F.bit_or(F.when(F.col("day") >= lo_lit,
@@ -78,13 +83,14 @@ def _cohort_counts(feed: DataFrame, as_of, cohorts: int) -> tuple[DataFrame, dt.
     return counts, lo
 
 
-def retention(feed: DataFrame, as_of, cohorts: int = 7) -> DataFrame:
+def retention(feed: DataFrame, as_of, cohorts: int = 7, from_days: bool = False) -> DataFrame:
     """Long-form retention.
 
     Columns: start_day, date, active_users, cohort_users, retention_pct
-    (active / cohort * 100), cohort_day (days since start_day).
+    (active / cohort * 100), cohort_day (days since start_day). With
+    ``from_days=True`` the input is a (user_id, [source,] day) rollup.
     """
-    counts, lo = _cohort_counts(feed, as_of, cohorts)
+    counts, lo = _cohort_counts(feed, as_of, cohorts, from_days)
     cells = F.array(*[
         F.struct(F.lit((lo + dt.timedelta(days=i)).isoformat()).cast("date").alias("date"),
                  F.col(f"a{i}").alias("active_users"))
