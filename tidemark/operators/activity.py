@@ -48,6 +48,16 @@ def _before(days: DataFrame, as_of) -> DataFrame:
 
 # ------------------------------------------------------------------ one day
 
+def feed_metrics_range(feed: DataFrame, start, end) -> DataFrame:
+    """Feed metrics for each day in ``[start, end)``: day, dau, views, likes, ctr."""
+    return (feed.where(time_between(feed, start, end))
+            .groupBy(F.to_date("time").alias("day"))
+            .agg(F.count_distinct("user_id").alias("dau"),
+                 F.count_if(F.col("action") == "view").alias("views"),
+                 F.count_if(F.col("action") == "like").alias("likes"))
+            .withColumn("ctr", F.try_divide(F.col("likes"), F.col("views"))))
+
+
 def feed_metrics(feed: DataFrame, as_of) -> DataFrame:
     """Yesterday's feed metrics: day, dau, views, likes, ctr.
 

@@ -118,7 +118,7 @@ def _pipeline(cols, k: int, seed: int) -> Pipeline:
     return Pipeline(stages=[
         VectorAssembler(inputCols=list(cols), outputCol="_raw", handleInvalid="skip"),
         StandardScaler(inputCol="_raw", outputCol="_features", withMean=True, withStd=True),
-        KMeans(featuresCol="_features", predictionCol="segment", k=k, seed=seed, maxIter=50),
+        KMeans(featuresCol="_features", predictionCol="segment", k=k, seed=seed),
     ])
 
 
