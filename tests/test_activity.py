@@ -60,3 +60,15 @@ def test_pivot_keys_are_unique(spark):
     from conftest import SF01
     dau = activity.dau_by_source(*E._events(spark, SF01), E.AS_OF)
     assert dau.count() == dau.select("day", "source").distinct().count()
+
+
+def test_approx_distinct_close_to_exact(spark):
+    import __spark_entry__ as E
+    from conftest import SF01
+    feed, _ = E._events(spark, SF01)
+    exact = {r["day"]: r["unique_posts"]
+             for r in activity.unique_posts_per_day(feed, E.AS_OF).collect()}
+    approx = {r["day"]: r["unique_posts"]
+              for r in activity.unique_posts_per_day(feed, E.AS_OF, approx_rsd=0.02).collect()}
+    assert exact.keys() == approx.keys()
+    assert all(abs(approx[d] - exact[d]) <= max(2, 0.1 * exact[d]) for d in exact)

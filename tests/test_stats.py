@@ -203,3 +203,15 @@ def test_histogram_bins_sum_and_edges(spark):
     assert sum(r["n"] for r in last) == 2                # 0.99 and the upper edge 1.0
     auto = stats.histogram(df, "v", bins="auto").collect()
     assert sum(r["n"] for r in auto) == 6
+
+
+def test_auto_bins_match_numpy(spark):
+    import numpy as np
+    rng = np.random.default_rng(5)
+    xs = np.round(rng.gamma(2.0, 0.3, size=400), 3)
+    df = spark.createDataFrame([(float(x),) for x in xs], "v double")
+    h = stats.histogram(df, "v", bins="auto").collect()
+    counts, edges = np.histogram(xs, bins="auto")
+    assert len(h) == len(counts)
+    assert [r["n"] for r in h] == list(counts)
+    assert h[0]["bin_lo"] == pytest.approx(edges[0]) and h[-1]["bin_hi"] == pytest.approx(edges[-1])

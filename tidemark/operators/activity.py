@@ -42,23 +42,31 @@ def user_days(events: DataFrame, until=None, by_source: bool | None = None) -> D
             .agg(F.count(F.lit(1)).alias("actions")))
 
 
+def distinct_count(col: str, approx_rsd: float | None = None):
+    """Exact ``count(DISTINCT col)``, or HyperLogLog++ with relative error
+    ``approx_rsd`` (fixed-size sketches per group instead of a distinct set)."""
+    if approx_rsd is None:
+        return F.count_distinct(col)
+    return F.approx_count_distinct(col, rsd=approx_rsd)
+
+
 def _before(days: DataFrame, as_of) -> DataFrame:
     return days.where(F.col("day") < F.lit(as_date(as_of).isoformat()).cast("date"))
 
 
 # ------------------------------------------------------------------ one day
 
-def feed_metrics_range(feed: DataFrame, start, end) -> DataFrame:
+def feed_metrics_range(feed: DataFrame, start, end, approx_rsd: float | None = None) -> DataFrame:
     """Feed metrics for each day in ``[start, end)``: day, dau, views, likes, ctr."""
     return (feed.where(time_between(feed, start, end))
             .groupBy(F.to_date("time").alias("day"))
-            .agg(F.count_distinct("user_id").alias("dau"),
+            .agg(distinct_count("user_id", approx_rsd).alias("dau"),
                  F.count_if(F.col("action") == "view").alias("views"),
                  F.count_if(F.col("action") == "like").alias("likes"))
             .withColumn("ctr", F.try_divide(F.col("likes"), F.col("views"))))
 
 
-def feed_metrics(feed: DataFrame, as_of) -> DataFrame:
+def feed_metrics(feed: DataFrame, as_of, approx_rsd: float | None = None) -> DataFrame:
     """Yesterday's feed metrics: day, dau, views, likes, ctr.
 
     ``ctr`` is likes / views and NULL when the day has no views.
@@ -66,18 +74,18 @@ def feed_metrics(feed: DataFrame, as_of) -> DataFrame:
     day = as_date(as_of) - dt.timedelta(days=1)
     return (feed.where(time_between(feed, day, as_of))
             .groupBy(F.to_date("time").alias("day"))
-            .agg(F.count_distinct("user_id").alias("dau"),
+            .agg(distinct_count("user_id", approx_rsd).alias("dau"),
                  F.count_if(F.col("action") == "view").alias("views"),
                  F.count_if(F.col("action") == "like").alias("likes"))
             .withColumn("ctr", F.try_divide(F.col("likes"), F.col("views"))))
 
 
-def msg_metrics(messages: DataFrame, as_of) -> DataFrame:
+def msg_metrics(messages: DataFrame, as_of, approx_rsd: float | None = None) -> DataFrame:
     """Yesterday's messenger metrics: day, dau, msgs_sent (non-NULL receivers)."""
     day = as_date(as_of) - dt.timedelta(days=1)
     return (messages.where(time_between(messages, day, as_of))
             .groupBy(F.to_date("time").alias("day"))
-            .agg(F.count_distinct("user_id").alias("dau"),
+            .agg(distinct_count("user_id", approx_rsd).alias("dau"),
                  F.count("receiver_id").alias("msgs_sent")))
 
 
@@ -140,11 +148,11 @@ def actions_per_day(feed: DataFrame, messages: DataFrame, as_of) -> DataFrame:
 
 # ------------------------------------------------------------------ posts
 
-def unique_posts_per_day(feed: DataFrame, as_of) -> DataFrame:
+def unique_posts_per_day(feed: DataFrame, as_of, approx_rsd: float | None = None) -> DataFrame:
     """Distinct posts acted on per day before ``as_of``: day, unique_posts."""
     return (feed.where(time_between(feed, None, as_of))
             .groupBy(F.to_date("time").alias("day"))
-            .agg(F.count_distinct("post_id").alias("unique_posts"))
+            .agg(distinct_count("post_id", approx_rsd).alias("unique_posts"))
             .orderBy("day"))
 
 
