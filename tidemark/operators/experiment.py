@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, time_between
 from ..functions.hashing import hash_bucket
+from ..session import materialize
 from .ranks import exact_quantiles
 
 DEFAULT_ARMS = (1, 2)
@@ -89,7 +90,8 @@ def bucket_ctr(users: DataFrame, n: int = 50, q: float = 0.9, hash_method: str =
     Columns: exp_group, bucket, bucket_ctr, ctr9. Empty buckets are absent;
     buckets whose users have no views get NULL in both metrics.
     """
-    ub = users.withColumn("bucket", hash_bucket("user_id", n, hash_method))
+    # read twice below (bucket sums, p90 ranks): compute the per-user rows once
+    ub = materialize(users.withColumn("bucket", hash_bucket("user_id", n, hash_method)))
     agg = (ub.groupBy(group_col, "bucket")
            .agg(F.try_divide(F.sum("likes"), F.sum("views")).alias("bucket_ctr")))
     p90 = exact_quantiles(ub, [group_col, "bucket"], "ctr", {"ctr9": q}, method="element")

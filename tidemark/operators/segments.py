@@ -44,16 +44,36 @@ _GRAINS = {
 def sales_trend(orders: DataFrame, grain: str = "month") -> DataFrame:
     """Per period: orders, customers, revenue, avg_order_value, prev_revenue,
     revenue_change, yoy_revenue, yoy_change (changes as fractions; NULL when
-    the earlier period has no orders)."""
+    the earlier period has no orders).
+
+    One aggregation per period; each period row is then emitted three times
+    (as itself, as the next period's "previous" and as next year's "year
+    ago") and regrouped, so the comparison needs no self-join and the orders
+    are scanned once.
+    """
     unit, shift, step, year = _GRAINS[grain]
     per = (orders.groupBy(F.date_trunc(unit, "o_orderdate").cast("date").alias("period"))
            .agg(F.count(F.lit(1)).alias("orders"),
                 F.count_distinct("o_custkey").alias("customers"),
                 F.sum("o_totalprice").alias("revenue")))
-    # the period table has one row per period; AQE broadcasts it by measured size
-    prev = per.select(shift("period", step).alias("period"), F.col("revenue").alias("prev_revenue"))
-    yoy = per.select(shift("period", year).alias("period"), F.col("revenue").alias("yoy_revenue"))
-    return (per.join(prev, "period", "left").join(yoy, "period", "left")
+    none = F.lit(None)
+    views = F.array(
+        F.struct(F.col("period").alias("p"), F.col("orders").alias("o"),
+                 F.col("customers").alias("c"), F.col("revenue").alias("r"),
+                 none.cast("double").alias("pr"), none.cast("double").alias("yr")),
+        F.struct(shift("period", step).alias("p"), none.cast("bigint").alias("o"),
+                 none.cast("bigint").alias("c"), none.cast("double").alias("r"),
+                 F.col("revenue").alias("pr"), none.cast("double").alias("yr")),
+        F.struct(shift("period", year).alias("p"), none.cast("bigint").alias("o"),
+                 none.cast("bigint").alias("c"), none.cast("double").alias("r"),
+                 none.cast("double").alias("pr"), F.col("revenue").alias("yr")))
+    merged = (per.select(F.inline(views))
+              .groupBy(F.col("p").alias("period"))
+              .agg(F.max("o").alias("orders"), F.max("c").alias("customers"),
+                   F.max("r").alias("revenue"), F.max("pr").alias("prev_revenue"),
+                   F.max("yr").alias("yoy_revenue"))
+              .where(F.col("orders").isNotNull()))
+    return (merged
             .select("period", "orders", "customers", "revenue",
                     F.try_divide(F.col("revenue"), F.col("orders")).alias("avg_order_value"),
                     "prev_revenue",
