@@ -12,8 +12,9 @@ Plan. The scan is cut to ``[Monday(as_of) - (weeks + 1) weeks, as_of]``
 ``time`` column, so it prunes at the Parquet level. Each user's active weeks
 are folded into a bitmask with ``bit_or``: one shuffle by ``user_id``,
 map-side partial aggregation, one fixed-width row per user however hot the
-user is. Every status count is then a sum of bit tests in one global
-aggregation (partial per task, one tiny final step), unpivoted into rows.
+user is. Users are then counted per distinct mask (at most 2^(weeks+2)
+patterns, partially aggregated per task), and every status count is a sum
+of bit tests over that small pattern table, unpivoted into rows.
 """
 
 from __future__ import annotations
@@ -49,6 +50,9 @@ def _week_counts(feed: DataFrame, as_of, weeks: int, from_days: bool = False) ->
                              F.lit(first.isoformat()).cast("date")) / 7).cast("int")
     masks = (src.select("user_id", bit.alias("k"))
              .groupBy("user_id").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("mask")))
+    # users per activity pattern: at most 2^(weeks+2) keys, so the status
+    # arithmetic below runs on a tiny table whatever the number of users
+    patterns = masks.groupBy("mask").agg(F.count(F.lit(1)).alias("users"))
 
     def on(j):
         return F.shiftright(F.col("mask"), j).bitwiseAND(F.lit(1)) == 1
@@ -61,14 +65,14 @@ def _week_counts(feed: DataFrame, as_of, weeks: int, from_days: bool = False) ->
                              ("new", on(j) & ~on(j - 1)),
                              ("gone", ~on(j) & on(j - 1))):
             name = f"c{j}_{status}"
-            sums.append(F.count_if(cond).alias(name))
+            sums.append(F.sum(F.when(cond, F.col("users")).otherwise(F.lit(0))).alias(name))
             sign = -1 if status == "gone" else 1
             rows.append(F.struct(
                 F.lit(this_week.isoformat()).cast("date").alias("this_week"),
                 F.lit(prev_week.isoformat()).cast("date").alias("previous_week"),
                 (F.col(name) * sign).cast("bigint").alias("num_users"),
                 F.lit(status).alias("status")))
-    return (masks.agg(*sums)
+    return (patterns.agg(*sums)
             .select(F.inline(F.array(*rows)))
             .where(F.col("num_users") != 0))
 

@@ -8,9 +8,10 @@ of them were active and which percent of the cohort that is.
 Plan. One aggregation per user gives both the first day (``min``) and a
 bitmask of the days active inside ``[as_of - cohorts, as_of]`` (``bit_or``):
 one shuffle by ``user_id`` with map-side partial aggregation and a
-fixed-width row per user. Cohort size and every (cohort, day) count are then
-sums of bit tests grouped by ``start_day`` (at most ``cohorts`` groups), so
-no join with a cohort-size table and no window is needed. The first day needs
+fixed-width row per user. Users are counted per (start_day, mask) pattern,
+and cohort size and every (cohort, day) count are sums of bit tests over
+that small table grouped by ``start_day``, so no join with a cohort-size
+table and no window is needed. The first day needs
 the whole history, so only the upper time bound reaches the scan; see
 ``first_seen_update`` for keeping first days incrementally instead.
 """
@@ -77,9 +78,13 @@ def _cohort_counts(feed: DataFrame, as_of, cohorts: int,
     def on(i):
         return F.shiftright(F.col("mask"), i).bitwiseAND(F.lit(1)) == 1
 
-    sums = [F.count_if(on(i)).alias(f"a{i}") for i in range(cohorts + 1)]
-    counts = users.groupBy("start_day").agg(
-        F.count(F.lit(1)).alias("cohort_users"), *sums)
+    # users per (start_day, activity pattern): at most cohorts * 2^(cohorts+1)
+    # keys, so the per-day counts below are sums over a tiny table
+    patterns = users.groupBy("start_day", "mask").agg(F.count(F.lit(1)).alias("users"))
+    sums = [F.sum(F.when(on(i), F.col("users")).otherwise(F.lit(0))).alias(f"a{i}")
+            for i in range(cohorts + 1)]
+    counts = patterns.groupBy("start_day").agg(
+        F.sum("users").alias("cohort_users"), *sums)
     return counts, lo
 
 
