@@ -153,9 +153,10 @@ def bootstrap_ci(reps: DataFrame, level: float = 0.95, col: str = "diff") -> Dat
     aggregate holds at most ``b`` values: bounded by the parameter, not the data.
     """
     tail = (1.0 - level) / 2.0
-    q = reps.agg(F.percentile(F.col(col), F.array(F.lit(tail), F.lit(1.0 - tail))).alias("q"))
-    return q.select(F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi")).select(
-        "lo", "hi", ((F.col("lo") > 0) | (F.col("hi") < 0)).alias("excludes_zero"))
+    q = reps.agg(F.percentile(F.col(col), F.array(F.lit(tail), F.lit(1.0 - tail))).alias("q"),
+                 F.avg(col).alias("mean"))
+    return q.select(F.col("q")[0].alias("lo"), F.col("q")[1].alias("hi"), "mean").select(
+        "lo", "hi", ((F.col("lo") > 0) | (F.col("hi") < 0)).alias("excludes_zero"), "mean")
 
 
 # ------------------------------------------------------------ histogram

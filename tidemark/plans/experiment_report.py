@@ -2,8 +2,8 @@
 
 The per-user frame is computed once and materialized; each test reduces it
 (or the bucket frame) to one row, and the rows are stacked with
-``unionByName``. Columns: method, statistic, p_value, ci_lo, ci_hi,
-significant.
+``unionByName``. Columns: method, arm (for per-arm rows), statistic,
+p_value, ci_lo, ci_hi, significant.
 """
 
 from __future__ import annotations
@@ -16,13 +16,20 @@ from ..session import materialize
 
 
 def _row(df: DataFrame, method: str, statistic, p_value, ci_lo=None, ci_hi=None,
-         significant=None) -> DataFrame:
+         significant=None, arm=None) -> DataFrame:
     def c(x):
         if x is None:
             return F.lit(None).cast("double")
         return F.col(x).cast("double") if isinstance(x, str) else x.cast("double")
-    sig = F.col("significant") if significant is None else significant
-    return df.select(F.lit(method).alias("method"), c(statistic).alias("statistic"),
+    if significant is None:
+        sig = F.col("significant")
+    elif significant is False:
+        sig = F.lit(None)
+    else:
+        sig = significant
+    arm_col = F.lit(None) if arm is None else F.col(arm)
+    return df.select(F.lit(method).alias("method"), arm_col.cast("int").alias("arm"),
+                     c(statistic).alias("statistic"),
                      c(p_value).alias("p_value"), c(ci_lo).alias("ci_lo"),
                      c(ci_hi).alias("ci_hi"), sig.cast("boolean").alias("significant"))
 
@@ -31,7 +38,7 @@ def experiment_report(feed: DataFrame, start, end, control=1, treatment=2,
                       alpha: float = stats.ALPHA, b: int = 5000, seed: int = 0,
                       n_buckets: int = 50, smoothing_alpha: float = experiment.SMOOTHING_ALPHA,
                       smoothed_value: str = "smoothed_ctr") -> DataFrame:
-    """Welch and Mann-Whitney on user CTR, Welch on smoothed CTR, the Poisson
+    """Per-arm mean and median CTR, Welch and Mann-Whitney on user CTR, Welch on smoothed CTR, the Poisson
     bootstrap interval of the CTR difference, Welch and Mann-Whitney on
     bucket CTR. Treatment comes first in the user-level tests, control first
     in the bucket tests (both two-sided, so only the sign of t differs).
@@ -49,10 +56,14 @@ def experiment_report(feed: DataFrame, start, end, control=1, treatment=2,
     reps = stats.poisson_bootstrap(users, b, seed, control, treatment)
     ci = stats.bootstrap_ci(reps, 1.0 - alpha)
     # the bootstrap row carries the interval; significant = 0 lies outside it
-    boot_row = _row(ci, "poisson_bootstrap", None, None, "lo", "hi", F.col("excludes_zero"))
+    boot_row = _row(ci, "poisson_bootstrap", "mean", None, "lo", "hi", F.col("excludes_zero"))
+    summary = experiment.arm_summary(users, "ctr")
+    arm_rows = (_row(summary, "mean_ctr", "mean", None, significant=False, arm=g)
+                .unionByName(_row(summary, "median_ctr", "median", None, significant=False, arm=g)))
     u_bucket = stats.mann_whitney(buckets, g, "bucket_ctr", control, treatment, alpha)
     t_bucket = stats.welch_ttest(buckets, g, "bucket_ctr", control, treatment, alpha)
-    return (_row(t_user, "ttest_ctr", "t", "p_value")
+    return (arm_rows
+            .unionByName(_row(t_user, "ttest_ctr", "t", "p_value"))
             .unionByName(_row(u_user, "mannwhitney_ctr", "u1", "p_value"))
             .unionByName(_row(t_smooth, "ttest_smoothed_ctr", "t", "p_value"))
             .unionByName(boot_row)

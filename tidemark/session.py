@@ -28,6 +28,8 @@ def build_session(master: str | None = None, app: str = "tidemark",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # reliable checkpoints of released frames are removed from the shared folder
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     if shuffle_partitions:
         confs["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
