@@ -215,3 +215,19 @@ def test_auto_bins_match_numpy(spark):
     assert len(h) == len(counts)
     assert [r["n"] for r in h] == list(counts)
     assert h[0]["bin_lo"] == pytest.approx(edges[0]) and h[-1]["bin_hi"] == pytest.approx(edges[-1])
+
+
+def test_grouped_bootstrap_same_distribution_and_partition_free(spark):
+    import numpy as np
+    rows = [(1 + (i % 2), i, i % 3, 2 + i % 3) for i in range(400)]
+    users = spark.createDataFrame(rows, "exp_group int, user_id long, likes long, views long")
+    g = stats.poisson_bootstrap(users, 2000, 3, method="grouped")
+    base = g.collect()
+    again = stats.poisson_bootstrap(users.repartition(7), 2000, 3, method="grouped").collect()
+    assert base == again
+    per_user = stats.poisson_bootstrap(users, 2000, 3).collect()
+    a = np.array([r["diff"] for r in base])
+    c = np.array([r["diff"] for r in per_user])
+    # same distribution: means and spreads agree within sampling error
+    assert abs(a.mean() - c.mean()) < 4 * c.std() / np.sqrt(len(c)) * 1.5
+    assert a.std() == pytest.approx(c.std(), rel=0.1)

@@ -37,14 +37,18 @@ def _row(df: DataFrame, method: str, statistic, p_value, ci_lo=None, ci_hi=None,
 def experiment_report(feed: DataFrame, start, end, control=1, treatment=2,
                       alpha: float = stats.ALPHA, b: int = 5000, seed: int = 0,
                       n_buckets: int = 50, smoothing_alpha: float = experiment.SMOOTHING_ALPHA,
-                      smoothed_value: str = "smoothed_ctr") -> DataFrame:
+                      smoothed_value: str = "smoothed_ctr",
+                      bootstrap_method: str = "grouped") -> DataFrame:
     """Per-arm mean and median CTR, Welch and Mann-Whitney on user CTR, Welch on smoothed CTR, the Poisson
     bootstrap interval of the CTR difference, Welch and Mann-Whitney on
     bucket CTR. Treatment comes first in the user-level tests, control first
     in the bucket tests (both two-sided, so only the sign of t differs).
 
     ``smoothed_value='ctr'`` reproduces a smoothed test that passes the raw
-    column by mistake (it then equals the first row).
+    column by mistake (it then equals the first row). The bootstrap uses the
+    pattern-grouped Poisson draws by default (work grows with distinct
+    (likes, views) pairs, not users); ``bootstrap_method='per_user'`` uses the
+    per-user hash weights that SQL can reproduce.
     """
     users = materialize(experiment.user_ctr(feed, start, end, (control, treatment)))
     smoothed = experiment.smoothed_ctr(users, smoothing_alpha)
@@ -53,7 +57,7 @@ def experiment_report(feed: DataFrame, start, end, control=1, treatment=2,
     t_user = stats.welch_ttest(users, g, "ctr", treatment, control, alpha)
     u_user = stats.mann_whitney(users, g, "ctr", treatment, control, alpha)
     t_smooth = stats.welch_ttest(smoothed, g, smoothed_value, treatment, control, alpha)
-    reps = stats.poisson_bootstrap(users, b, seed, control, treatment)
+    reps = stats.poisson_bootstrap(users, b, seed, control, treatment, method=bootstrap_method)
     ci = stats.bootstrap_ci(reps, 1.0 - alpha)
     # the bootstrap row carries the interval; significant = 0 lies outside it
     boot_row = _row(ci, "poisson_bootstrap", "mean", None, "lo", "hi", F.col("excludes_zero"))
