@@ -66,3 +66,20 @@ def test_segment_profile_shares(seg):
     prof = segments.segment_profile(feats, s).collect()
     assert sum(r["share"] for r in prof) == pytest.approx(1.0)
     assert sum(r["customers"] for r in prof) == feats.count()
+
+
+def test_daily_report_from_rollup_store_equals_events(spark):
+    import __spark_entry__ as E
+    from conftest import SF001
+    feed, msg = E._events(spark, SF001)
+    store = tempfile.mkdtemp(prefix="tidemark-store-")
+    report.append_rollups(feed, msg, "2024-01-01", "2024-01-16", store)
+    report.append_rollups(feed, msg, "2024-01-16", "2024-02-01", store)
+    report.append_rollups(feed, msg, "2024-01-20", "2024-01-21", store)   # re-run one day
+    r = report.read_rollups(spark, store)
+    from_store = report.daily_report(feed, msg, E.AS_OF, **r)
+    from_events = report.daily_report(feed, msg, E.AS_OF)
+    for name in ("dau", "actions", "posts", "new_users", "audience", "retention", "message"):
+        a = sorted(tuple(x) for x in from_store[name].collect())
+        b = sorted(tuple(x) for x in from_events[name].collect())
+        assert a == b, name

@@ -148,6 +148,19 @@ def actions_per_day(feed: DataFrame, messages: DataFrame, as_of) -> DataFrame:
 
 # ------------------------------------------------------------------ posts
 
+def post_days(feed: DataFrame, until=None) -> DataFrame:
+    """Distinct (day, post_id) rows: the rollup behind ``unique_posts_per_day``."""
+    src = feed if until is None else feed.where(time_between(feed, None, until))
+    return src.select(F.to_date("time").alias("day"), "post_id").distinct()
+
+
+def unique_posts_from_days(posts: DataFrame, as_of) -> DataFrame:
+    """``unique_posts_per_day`` over a (day, post_id) rollup."""
+    return (_before(posts, as_of).groupBy("day")
+            .agg(F.count(F.lit(1)).alias("unique_posts"))
+            .orderBy("day"))
+
+
 def unique_posts_per_day(feed: DataFrame, as_of, approx_rsd: float | None = None) -> DataFrame:
     """Distinct posts acted on per day before ``as_of``: day, unique_posts."""
     return (feed.where(time_between(feed, None, as_of))

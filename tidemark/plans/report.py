@@ -14,7 +14,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import as_date
+from ..functions.dates import as_date, time_between
 from ..operators import activity, audience, retention
 from ..session import materialize
 
@@ -61,21 +61,55 @@ def report_message(feed_m: DataFrame, msg_m: DataFrame) -> DataFrame:
     return j.select("day", text.alias("message"))
 
 
+ROLLUPS = ("feed_days", "msg_days", "post_days")
+
+
+def append_rollups(feed: DataFrame, messages: DataFrame, start, end, store: str) -> None:
+    """Write the rollups of days ``[start, end)`` into ``store`` (one folder per rollup).
+
+    Only that range of events is read (pushed-down time bounds), and dynamic
+    partition overwrite replaces just those day partitions, so a daily job
+    appends yesterday and a re-run or late data rewrites the same days.
+    """
+    s, e = as_date(start), as_date(end)
+    f = feed.where(time_between(feed, s, e))
+    m = messages.where(time_between(messages, s, e))
+    parts = {"feed_days": activity.user_days(f, by_source=True),
+             "msg_days": activity.user_days(m, by_source=False),
+             "post_days": activity.post_days(f)}
+    for name, df in parts.items():
+        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+         .partitionBy("day").parquet(f"{store.rstrip('/')}/{name}"))
+
+
+def read_rollups(spark, store: str) -> dict[str, DataFrame]:
+    """The stored rollups; filters on ``day`` prune day partitions."""
+    return {name: spark.read.parquet(f"{store.rstrip('/')}/{name}") for name in ROLLUPS}
+
+
 def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
                  cohorts: int = 7, feed_days: DataFrame | None = None,
-                 msg_days: DataFrame | None = None) -> dict[str, DataFrame]:
+                 msg_days: DataFrame | None = None,
+                 post_days: DataFrame | None = None) -> dict[str, DataFrame]:
     """All report tables for run day ``as_of``.
 
-    ``feed_days`` / ``msg_days`` may be passed in from a stored rollup
-    (``activity.user_days`` appended day by day); otherwise they are built
+    ``feed_days`` / ``msg_days`` / ``post_days`` may come from a rollup store
+    (``append_rollups`` / ``read_rollups``); then only the day before
+    ``as_of`` is read from the events. Otherwise the user rollups are built
     from the events up to the end of ``as_of`` and materialized once.
     """
     a = as_date(as_of)
     end = a + dt.timedelta(days=1)
     if feed_days is None:
         feed_days = materialize(activity.user_days(feed, end, by_source=True))
+    else:
+        feed_days = feed_days.where(F.col("day") < F.lit(end.isoformat()).cast("date"))
     if msg_days is None:
         msg_days = materialize(activity.user_days(messages, end, by_source=False))
+    else:
+        msg_days = msg_days.where(F.col("day") < F.lit(end.isoformat()).cast("date"))
+    posts = (activity.unique_posts_per_day(feed, a) if post_days is None
+             else activity.unique_posts_from_days(post_days, a))
     feed_m = activity.feed_metrics(feed, a)
     msg_m = activity.msg_metrics(messages, a)
     dau = activity.dau_from_days(feed_days, msg_days, a)
@@ -89,7 +123,7 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
         "dau": dau,
         "dau_matrix": activity.dau_matrix(dau),
         "actions": activity.actions_from_days(feed_days, msg_days, a),
-        "posts": activity.unique_posts_per_day(feed, a),
+        "posts": posts,
         "new_users": new_users,
         "new_users_matrix": activity.new_users_matrix(new_users),
         "audience": aud,
