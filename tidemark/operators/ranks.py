@@ -37,14 +37,16 @@ def _splits(d: DataFrame, value: str, bins: int) -> list[float]:
 
 
 def value_prefix(d: DataFrame, keys: list[str], value: str, counts: list[str],
-                 bins: int = DEFAULT_BINS) -> DataFrame:
+                 bins: int = DEFAULT_BINS, materialized: bool = False) -> DataFrame:
     """Add ``<c>_below`` for each count column ``c``.
 
     ``d`` holds one row per distinct ``(keys, value)`` (value not NULL) with
     non-negative counts; ``<c>_below`` is the sum of ``c`` over rows with the
     same keys and a strictly smaller value.
     """
-    d = materialize(d.withColumn("_v", F.col(value).cast("double")))
+    if not materialized:
+        d = materialize(d)
+    d = d.withColumn("_v", F.col(value).cast("double"))
     splits = _splits(d, "_v", bins)
     binned = (Bucketizer(splits=splits, inputCol="_v", outputCol="_binf")
               .transform(d).withColumn("_bin", F.col("_binf").cast("int"))
@@ -76,14 +78,16 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     index ``floor(p * n)`` (the "exact" quantile of some SQL engines). ``probs``
     maps output column names to probabilities. Groups without values are absent.
     """
-    whole = not keys
-    if whole:                       # one group: a constant key keeps every join an equi-join
-        df, keys = df.withColumn("_all", F.lit(0)), ["_all"]
-    d = (df.where(F.col(value).isNotNull())
-         .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
-    p = value_prefix(d, keys, value, ["_c"], bins)
-    n = p.groupBy(*keys).agg(F.sum("_c").alias("_n"))
-    p = p.join(n, keys)
+    d = materialize(df.where(F.col(value).isNotNull())
+                    .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
+    p = value_prefix(d, keys, value, ["_c"], bins, materialized=True)
+    if keys:
+        # one row per group; AQE broadcasts it when the measured size is small
+        n = d.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+        p = p.join(n, keys)
+    else:
+        # a single group: the total is a scalar subquery, evaluated once
+        p = p.withColumn("_n", d.agg(F.sum("_c")).scalar())
     lo_hi = []
     aggs = []
     for name, q in probs.items():
@@ -107,4 +111,4 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
         res = res.withColumn(name, F.col(f"_lo_{name}")
                              + F.col(f"_fr_{name}") * (F.col(f"_hi_{name}") - F.col(f"_lo_{name}")))
         res = res.drop(f"_lo_{name}", f"_hi_{name}", f"_fr_{name}")
-    return res.drop("_all") if whole else res
+    return res
