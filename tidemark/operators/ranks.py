@@ -48,9 +48,12 @@ def value_prefix(d: DataFrame, keys: list[str], value: str, counts: list[str],
         d = materialize(d)
     d = d.withColumn("_v", F.col(value).cast("double"))
     splits = _splits(d, "_v", bins)
-    binned = (Bucketizer(splits=splits, inputCol="_v", outputCol="_binf")
-              .transform(d).withColumn("_bin", F.col("_binf").cast("int"))
-              .drop("_binf", "_v"))
+    if len(splits) < 3:                 # no or one distinct split point: a single bin
+        binned = d.withColumn("_bin", F.lit(0)).drop("_v")
+    else:
+        binned = (Bucketizer(splits=splits, inputCol="_v", outputCol="_binf")
+                  .transform(d).withColumn("_bin", F.col("_binf").cast("int"))
+                  .drop("_binf", "_v"))
     totals = binned.groupBy(*keys, "_bin").agg(*[F.sum(c).alias(f"_t_{c}") for c in counts])
     wbin = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     before_bin = totals.select(*keys, "_bin", *[
@@ -76,7 +79,8 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
     ``method='linear'`` interpolates between order statistics (numpy's default,
     SQL ``percentile_cont``); ``method='element'`` returns the element at 0-based
     index ``floor(p * n)`` (the "exact" quantile of some SQL engines). ``probs``
-    maps output column names to probabilities. Groups without values are absent.
+    maps output column names to probabilities. Keyed groups without values are
+    absent; without keys the single row is NULL when there are no values.
     """
     d = materialize(df.where(F.col(value).isNotNull())
                     .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
