@@ -83,3 +83,23 @@ def test_daily_report_from_rollup_store_equals_events(spark):
         a = sorted(tuple(x) for x in from_store[name].collect())
         b = sorted(tuple(x) for x in from_events[name].collect())
         assert a == b, name
+
+
+def test_command_line_daily_report(spark):
+    import __spark_entry__ as E
+    from conftest import SF001
+    from tidemark.__main__ import main
+    feed, msg = E._events(spark, SF001)
+    base = tempfile.mkdtemp(prefix="tidemark-cli-")
+    feed.write.parquet(os.path.join(base, "feed"))
+    msg.write.parquet(os.path.join(base, "msgs"))
+    args = ["--feed", os.path.join(base, "feed"), "--messages", os.path.join(base, "msgs")]
+    assert main(["append-rollups", *args, "--start", "2024-01-01", "--end", "2024-02-01",
+                 "--store", os.path.join(base, "store")]) == 0
+    assert main(["daily-report", *args, "--as-of", "2024-01-31", "--out",
+                 os.path.join(base, "out"), "--store", os.path.join(base, "store")]) == 0
+    msg_out = spark.read.parquet(os.path.join(base, "out", "message")).collect()
+    assert len(msg_out) == 1 and str(msg_out[0]["as_of"]) == "2024-01-31"
+    dau = spark.read.parquet(os.path.join(base, "out", "dau")).drop("as_of")
+    assert sorted(tuple(r) for r in dau.collect()) == sorted(
+        tuple(r) for r in report.activity.dau_by_source(feed, msg, E.AS_OF).collect())
