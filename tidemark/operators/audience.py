@@ -13,8 +13,8 @@ Plan. The scan is cut to ``[Monday(as_of) - (weeks + 1) weeks, as_of]``
 are folded into a bitmask with ``bit_or``: one shuffle by ``user_id``,
 map-side partial aggregation, one fixed-width row per user however hot the
 user is. Users are then counted per distinct mask (at most 2^(weeks+2)
-patterns, partially aggregated per task), and every status count is a sum
-of bit tests over that small pattern table, unpivoted into rows.
+patterns, partially aggregated per task); each pattern is expanded to its
+(week, status) pairs and summed, so the status step runs on a tiny table.
 """
 
 from __future__ import annotations
@@ -51,30 +51,25 @@ def _week_counts(feed: DataFrame, as_of, weeks: int, from_days: bool = False) ->
     masks = (src.select("user_id", bit.alias("k"))
              .groupBy("user_id").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("mask")))
     # users per activity pattern: at most 2^(weeks+2) keys, so the status
-    # arithmetic below runs on a tiny table whatever the number of users
+    # step below runs on a tiny table whatever the number of users
     patterns = masks.groupBy("mask").agg(F.count(F.lit(1)).alias("users"))
-
-    def on(j):
-        return F.shiftright(F.col("mask"), j).bitwiseAND(F.lit(1)) == 1
-
-    sums, rows = [], []
-    for j in range(1, weeks + 2):                   # reported weeks: bits 1..weeks+1
-        this_week = first + dt.timedelta(weeks=j)
-        prev_week = this_week - dt.timedelta(weeks=1)
-        for status, cond in (("retained", on(j) & on(j - 1)),
-                             ("new", on(j) & ~on(j - 1)),
-                             ("gone", ~on(j) & on(j - 1))):
-            name = f"c{j}_{status}"
-            sums.append(F.sum(F.when(cond, F.col("users")).otherwise(F.lit(0))).alias(name))
-            sign = -1 if status == "gone" else 1
-            rows.append(F.struct(
-                F.lit(this_week.isoformat()).cast("date").alias("this_week"),
-                F.lit(prev_week.isoformat()).cast("date").alias("previous_week"),
-                (F.col(name) * sign).cast("bigint").alias("num_users"),
-                F.lit(status).alias("status")))
-    return (patterns.agg(*sums)
-            .select(F.inline(F.array(*rows)))
-            .where(F.col("num_users") != 0))
+    cur = F.expr("(shiftright(mask, j) & 1) = 1")
+    prev = F.expr("(shiftright(mask, j - 1) & 1) = 1")
+    status = (F.when(cur & prev, F.lit("retained"))
+              .when(cur, F.lit("new"))
+              .when(prev, F.lit("gone")))
+    first_lit = F.lit(first.isoformat()).cast("date")
+    return (patterns
+            .select("users", "mask",
+                    F.explode(F.sequence(F.lit(1), F.lit(weeks + 1))).alias("j"))
+            .select("users", "j", status.alias("status"))
+            .where(F.col("status").isNotNull())
+            .groupBy("j", "status").agg(F.sum("users").alias("n"))
+            .select(F.date_add(first_lit, F.col("j") * 7).alias("this_week"),
+                    F.date_add(first_lit, (F.col("j") - 1) * 7).alias("previous_week"),
+                    F.when(F.col("status") == "gone", -F.col("n"))
+                     .otherwise(F.col("n")).cast("bigint").alias("num_users"),
+                    "status"))
 
 
 def audience_from_days(feed_days: DataFrame, as_of, weeks: int = 8) -> DataFrame:

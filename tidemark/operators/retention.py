@@ -8,10 +8,10 @@ of them were active and which percent of the cohort that is.
 Plan. One aggregation per user gives both the first day (``min``) and a
 bitmask of the days active inside ``[as_of - cohorts, as_of]`` (``bit_or``):
 one shuffle by ``user_id`` with map-side partial aggregation and a
-fixed-width row per user. Users are counted per (start_day, mask) pattern,
-and cohort size and every (cohort, day) count are sums of bit tests over
-that small table grouped by ``start_day``, so no join with a cohort-size
-table and no window is needed. The first day needs
+fixed-width row per user. Users are counted per (start_day, mask) pattern;
+each pattern is expanded to its active days and summed per (cohort, day).
+The cohort size is the day-0 count (every member is active on its first
+day), so no join with a cohort-size table is needed. The first day needs
 the whole history, so only the upper time bound reaches the scan; see
 ``first_seen_update`` for keeping first days incrementally instead.
 """
@@ -20,7 +20,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, time_between
@@ -75,17 +75,14 @@ def _cohort_counts(feed: DataFrame, as_of, cohorts: int,
              .where((F.col("start_day") >= lo_lit)
                     & (F.col("start_day") < F.lit(a.isoformat()).cast("date"))))
 
-    def on(i):
-        return F.shiftright(F.col("mask"), i).bitwiseAND(F.lit(1)) == 1
-
-    # users per (start_day, activity pattern): at most cohorts * 2^(cohorts+1)
-    # keys, so the per-day counts below are sums over a tiny table
+    # users per (start_day, activity pattern): at most cohorts * 2^(cohorts+1) keys
     patterns = users.groupBy("start_day", "mask").agg(F.count(F.lit(1)).alias("users"))
-    sums = [F.sum(F.when(on(i), F.col("users")).otherwise(F.lit(0))).alias(f"a{i}")
-            for i in range(cohorts + 1)]
-    counts = patterns.groupBy("start_day").agg(
-        F.sum("users").alias("cohort_users"), *sums)
-    return counts, lo
+    active = (patterns
+              .select("start_day", "mask", "users",
+                      F.explode(F.sequence(F.lit(0), F.lit(cohorts))).alias("i"))
+              .where(F.expr("(shiftright(mask, i) & 1) = 1"))
+              .groupBy("start_day", "i").agg(F.sum("users").alias("active_users")))
+    return active, lo
 
 
 def retention(feed: DataFrame, as_of, cohorts: int = 7, from_days: bool = False) -> DataFrame:
@@ -95,13 +92,15 @@ def retention(feed: DataFrame, as_of, cohorts: int = 7, from_days: bool = False)
     (active / cohort * 100), cohort_day (days since start_day). With
     ``from_days=True`` the input is a (user_id, [source,] day) rollup.
     """
-    counts, lo = _cohort_counts(feed, as_of, cohorts, from_days)
-    cells = F.array(*[
-        F.struct(F.lit((lo + dt.timedelta(days=i)).isoformat()).cast("date").alias("date"),
-                 F.col(f"a{i}").alias("active_users"))
-        for i in range(cohorts + 1)])
-    return (counts.select("start_day", "cohort_users", F.inline(cells))
-            .where(F.col("active_users") > 0)
+    active, lo = _cohort_counts(feed, as_of, cohorts, from_days)
+    lo_lit = F.lit(lo.isoformat()).cast("date")
+    # every cohort member is active on its first day, so the cohort size is the
+    # day-0 count; the window runs over at most cohorts * (cohorts + 1) rows
+    size = F.max(F.when(F.date_add(lo_lit, F.col("i")) == F.col("start_day"),
+                        F.col("active_users"))).over(Window.partitionBy("start_day"))
+    return (active
+            .select("start_day", F.date_add(lo_lit, F.col("i")).alias("date"),
+                    "active_users", size.alias("cohort_users"))
             .select("start_day", "date", "active_users", "cohort_users",
                     (F.col("active_users") * 100.0 / F.col("cohort_users")).alias("retention_pct"),
                     F.datediff("date", "start_day").alias("cohort_day"))
