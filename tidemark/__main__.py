@@ -15,6 +15,7 @@ from pyspark.sql import SparkSession
 
 from .plans import report
 from .plans.experiment_report import experiment_report
+from .session import apply_cluster_conf
 from .sources import read_feed_actions, read_message_actions
 
 
@@ -50,6 +51,8 @@ def _parser() -> argparse.ArgumentParser:
 def main(argv=None) -> int:
     args = _parser().parse_args(argv)
     spark = SparkSession.builder.appName(f"tidemark {args.cmd}").getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        apply_cluster_conf(spark)
     feed = read_feed_actions(spark, args.feed, args.format)
     if args.cmd == "daily-report":
         msgs = read_message_actions(spark, args.messages, args.format)

@@ -39,9 +39,9 @@ def experiment_report(feed: DataFrame, start, end, control=1, treatment=2,
                       n_buckets: int = 50, smoothing_alpha: float = experiment.SMOOTHING_ALPHA,
                       smoothed_value: str = "smoothed_ctr",
                       bootstrap_method: str = "grouped") -> DataFrame:
-    """Per-arm mean and median CTR, Welch and Mann-Whitney on user CTR, Welch on smoothed CTR, the Poisson
-    bootstrap interval of the CTR difference, Welch and Mann-Whitney on
-    bucket CTR. Treatment comes first in the user-level tests, control first
+    """Per-arm mean and median CTR, Welch and Mann-Whitney on user CTR, Welch
+    on smoothed CTR, the Poisson bootstrap interval of the CTR difference,
+    Welch and Mann-Whitney on bucket CTR. Treatment comes first in the user-level tests, control first
     in the bucket tests (both two-sided, so only the sign of t differs).
 
     ``smoothed_value='ctr'`` reproduces a smoothed test that passes the raw

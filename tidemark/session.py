@@ -9,6 +9,35 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings for a large cluster (hundreds of TB of events). Shuffle partitions
+# start high and AQE coalesces them to ~256 MB each, so the same jobs fit
+# small and large days; skewed join partitions are split at runtime; scans
+# read 256 MB splits; runtime bloom filters prune the large side of joins
+# (e.g. line items of orders outside the date range).
+CLUSTER_CONF = {
+    "spark.sql.shuffle.partitions": "8000",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.optimizer.runtime.bloomFilter.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+}
+
+
+def apply_cluster_conf(spark: SparkSession, overwrite: bool = False) -> None:
+    """Set ``CLUSTER_CONF`` on a running session, keeping values the
+    deployment already chose unless ``overwrite``."""
+    for k, v in CLUSTER_CONF.items():
+        try:
+            if overwrite or spark.conf.get(k, None) in (None, ""):
+                spark.conf.set(k, v)
+        except Exception:  # noqa: BLE001 - static confs cannot change at runtime
+            pass
+
+
 def build_session(master: str | None = None, app: str = "tidemark",
                   shuffle_partitions: int | None = None,
                   extra: dict | None = None) -> SparkSession:
