@@ -36,3 +36,17 @@ def poisson_weight(u: Column, lam: float = 1.0) -> Column:
     for k, t in enumerate(ts):
         expr = F.when(u < F.lit(t), F.lit(k)) if expr is None else expr.when(u < F.lit(t), F.lit(k))
     return expr.otherwise(F.lit(len(ts)))
+
+
+def poisson_weight_hex(hex8: Column, lam: float = 1.0) -> Column:
+    """The same draw from ``u`` written as exactly 8 lowercase hex digits.
+
+    Fixed-width hex strings sort like the numbers they encode, so comparing
+    the digest slice with hex thresholds skips the hex-to-number conversion.
+    """
+    ts = poisson_thresholds(lam)
+    expr = None
+    for k, t in enumerate(ts):
+        lit = F.lit(format(t, "08x"))
+        expr = F.when(hex8 < lit, F.lit(k)) if expr is None else expr.when(hex8 < lit, F.lit(k))
+    return expr.otherwise(F.lit(len(ts)))

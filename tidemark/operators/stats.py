@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dist import mwu_p_udf, t_two_sided_udf
 from ..functions.hashing import uniform_u32
-from ..functions.poisson import poisson_weight
+from ..functions.poisson import poisson_weight, poisson_weight_hex
 from .ranks import exact_quantiles, value_prefix
 
 ALPHA = 0.05
@@ -138,8 +138,10 @@ def poisson_bootstrap(users: DataFrame, b: int = 5000, seed: int = 0, first=1, s
 
     Columns: b (replicate 0..b-1), ctr1 (``first``), ctr2 (``second``),
     diff = ctr2 - ctr1. The weight of (user, replicate) is a fixed function
-    of hash(user_id, replicate, seed), so results do not depend on
-    partitioning or retries. Each user row is expanded to ``b`` replicate rows
+    of a hash, so results do not depend on partitioning or retries: with
+    ``hash_method='md5'`` replicate ``b`` takes the 32-bit slice ``b mod 4``
+    (hex digits 8j+1 .. 8j+8) of md5('user_id:k:seed') with ``k = b div 4``,
+    a rule any SQL engine reproduces; ``'xxhash64'`` hashes (user_id, b, seed). Each user row is expanded to ``b`` replicate rows
     inside its task and immediately summed per replicate (map-side partial
     aggregation), so a shuffle carries at most ``b`` rows per task: the
     ``b x users`` weight matrix never exists.
@@ -178,12 +180,27 @@ def poisson_bootstrap(users: DataFrame, b: int = 5000, seed: int = 0, first=1, s
                 .orderBy("b"))
     if method != "per_user":
         raise ValueError(f"unknown method {method!r}")
-    rep = (users.where(g.isin(first, second))
-           .select(group_col, "user_id", "likes", "views")
-           .repartition(par)
-           .select("*", F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("b")))
-    w = poisson_weight(uniform_u32("user_id", "b", F.lit(seed), method=hash_method))
-    rep = rep.withColumn("w", w)
+    spread = (users.where(g.isin(first, second))
+              .select(group_col, "user_id", "likes", "views")
+              .repartition(par))
+    if hash_method == "md5":
+        # one digest per block of 4 replicates: its four 32-bit slices are the
+        # uniforms of replicates 4k .. 4k+3 (a quarter of the hashing work)
+        blocks = spread.select("*", F.explode(F.sequence(F.lit(0), F.lit((b - 1) // 4))).alias("k"))
+        hashed = blocks.select(
+            group_col, "user_id", "likes", "views", "k",
+            F.md5(F.concat_ws(":", F.col("user_id").cast("string"), F.col("k").cast("string"),
+                              F.lit(str(seed)))).alias("h"))
+        slices = F.array(*[
+            F.struct((F.col("k") * 4 + j).alias("b"), F.substring("h", 8 * j + 1, 8).alias("x"))
+            for j in range(4)])
+        rep = (hashed.select(group_col, "likes", "views", F.inline(slices))
+               .where(F.col("b") < b)
+               .withColumn("w", poisson_weight_hex(F.col("x"))))
+    else:
+        rep = (spread.select("*", F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("b"))
+               .withColumn("w", poisson_weight(
+                   uniform_u32("user_id", "b", F.lit(seed), method=hash_method))))
     sums = rep.groupBy("b").agg(
         F.sum(F.when(g == first, F.col("w") * F.col("likes"))).alias("l1"),
         F.sum(F.when(g == first, F.col("w") * F.col("views"))).alias("v1"),
