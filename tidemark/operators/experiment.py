@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, time_between
 from ..functions.hashing import hash_bucket
-from ..session import materialize
+from ..session import broadcast_if_small, materialize
 from .ranks import exact_quantiles
 
 DEFAULT_ARMS = (1, 2)
@@ -70,11 +70,11 @@ def smoothed_ctr(users: DataFrame, alpha: float = SMOOTHING_ALPHA,
     """Adds smoothed_ctr = (likes + alpha * global_ctr) / (views + alpha).
 
     ``global_ctr`` is the arm's ratio of sums. The per-arm table has one row
-    per arm, so it is broadcast; the per-user step is column arithmetic in
-    whole-stage codegen.
+    per arm; it is broadcast after a size check, so the per-user side is not
+    shuffled, and the per-user step is column arithmetic in whole-stage codegen.
     """
-    g = global_ctr(users, group_col).select(group_col, "global_ctr")
-    return (users.join(F.broadcast(g), group_col)
+    g = broadcast_if_small(global_ctr(users, group_col).select(group_col, "global_ctr"))
+    return (users.join(g, group_col)
             .withColumn("smoothed_ctr",
                         (F.col("likes") + F.lit(float(alpha)) * F.col("global_ctr"))
                         / (F.col("views") + F.lit(float(alpha))))

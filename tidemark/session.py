@@ -105,3 +105,17 @@ def materialize(df: DataFrame) -> DataFrame:
     if checkpoint_dir(spark):
         return df.checkpoint(eager=True)
     return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
+    """Broadcast ``df`` only after checking its size.
+
+    The frame is materialized (so the check does not compute it twice) and
+    counted; under ``max_rows`` it gets a broadcast hint, otherwise it is
+    returned as is and the join shuffles both sides (AQE may still pick a
+    broadcast from measured sizes).
+    """
+    from pyspark.sql import functions as F
+
+    small = materialize(df)
+    return F.broadcast(small) if small.count() <= max_rows else small
