@@ -103,3 +103,15 @@ def test_command_line_daily_report(spark):
     dau = spark.read.parquet(os.path.join(base, "out", "dau")).drop("as_of")
     assert sorted(tuple(r) for r in dau.collect()) == sorted(
         tuple(r) for r in report.activity.dau_by_source(feed, msg, E.AS_OF).collect())
+
+
+def test_backfill_writes_one_partition_per_day(spark):
+    import __spark_entry__ as E
+    from conftest import SF001
+    feed, msg = E._events(spark, SF001)
+    out = tempfile.mkdtemp(prefix="tidemark-backfill-")
+    days = report.backfill(feed, msg, "2024-01-29", "2024-01-31", out)
+    assert days == ["2024-01-29", "2024-01-30"]
+    fm = spark.read.parquet(os.path.join(out, "feed_metrics")).collect()
+    assert sorted(str(r["as_of"]) for r in fm) == days
+    assert all(r["day"] == r["as_of"] - dt.timedelta(days=1) for r in fm)

@@ -2,6 +2,7 @@
 ``python -m tidemark ...``). A scheduler calls one command per run day.
 
     daily-report       all report tables for --as-of, written under --out
+    backfill           the same for every day in [--start, --end)
     append-rollups     add the rollups of [--start, --end) to a rollup store
     experiment-report  the experiment readout for --start .. --end
 """
@@ -29,6 +30,14 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--out", required=True)
     d.add_argument("--store", help="rollup store written by append-rollups")
     d.add_argument("--format", default="parquet")
+    bf = sub.add_parser("backfill")
+    bf.add_argument("--feed", required=True)
+    bf.add_argument("--messages", required=True)
+    bf.add_argument("--start", required=True)
+    bf.add_argument("--end", required=True)
+    bf.add_argument("--out", required=True)
+    bf.add_argument("--store")
+    bf.add_argument("--format", default="parquet")
     a = sub.add_parser("append-rollups")
     a.add_argument("--feed", required=True)
     a.add_argument("--messages", required=True)
@@ -59,6 +68,9 @@ def main(argv=None) -> int:
         rollups = report.read_rollups(spark, args.store) if args.store else {}
         tables = report.daily_report(feed, msgs, args.as_of, **rollups)
         report.write_report(tables, args.out, args.as_of)
+    elif args.cmd == "backfill":
+        msgs = read_message_actions(spark, args.messages, args.format)
+        report.backfill(feed, msgs, args.start, args.end, args.out, args.store)
     elif args.cmd == "append-rollups":
         msgs = read_message_actions(spark, args.messages, args.format)
         report.append_rollups(feed, msgs, args.start, args.end, args.store)

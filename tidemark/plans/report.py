@@ -148,3 +148,22 @@ def write_report(tables: dict[str, DataFrame], path: str, as_of, fmt: str = "par
          .partitionBy("as_of")
          .format(fmt)
          .save(f"{path.rstrip('/')}/{name}"))
+
+
+def backfill(feed: DataFrame, messages: DataFrame, start, end, path: str,
+             store: str | None = None) -> list[str]:
+    """Report tables for every run day in ``[start, end)``, written under ``path``.
+
+    Each day is an independent, idempotent run (its own ``as_of`` partition),
+    so a failed day can be re-run alone. With a rollup ``store`` the days
+    read the stored rollups instead of the event history.
+    """
+    s, e = as_date(start), as_date(end)
+    rollups = read_rollups(feed.sparkSession, store) if store else {}
+    done = []
+    day = s
+    while day < e:
+        write_report(daily_report(feed, messages, day, **rollups), path, day)
+        done.append(day.isoformat())
+        day += dt.timedelta(days=1)
+    return done
