@@ -79,3 +79,16 @@ def test_first_seen_update(make_feed, spark):
     upd = retention.first_seen_update(first, feed, D(2024, 3, 2))
     assert sorted(tuple(r) for r in upd.collect()) == sorted(
         tuple(r) for r in retention.cohort_start(feed).collect())
+
+
+def test_retention_with_stored_first_days(spark):
+    import __spark_entry__ as E
+    from conftest import SF01
+    from tidemark.operators.activity import user_days
+    feed, _ = E._events(spark, SF01)
+    first = retention.cohort_start(feed)
+    a = retention.retention(feed, E.RETENTION_AS_OF).collect()
+    b = retention.retention(feed, E.RETENTION_AS_OF, first_seen=first).collect()
+    c = retention.retention(user_days(feed), E.RETENTION_AS_OF, from_days=True,
+                            first_seen=first).collect()
+    assert a == b == c

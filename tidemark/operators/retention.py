@@ -53,27 +53,37 @@ def first_seen_update(first_seen: DataFrame, feed: DataFrame, day) -> DataFrame:
     return first_seen.select("user_id", "start_day").unionByName(fresh)
 
 
-def _cohort_counts(feed: DataFrame, as_of, cohorts: int,
-                   from_days: bool = False) -> tuple[DataFrame, dt.date]:
+def _cohort_counts(feed: DataFrame, as_of, cohorts: int, from_days: bool = False,
+                   first_seen: DataFrame | None = None) -> tuple[DataFrame, dt.date]:
     if not 1 <= cohorts <= 60:
         raise ValueError("cohorts must be in 1..60")
     a = as_date(as_of)
     lo = a - dt.timedelta(days=cohorts)
     lo_lit = F.lit(lo.isoformat()).cast("date")
     end = a + dt.timedelta(days=1)
+    # with stored first days only the cohort window of activity is needed
+    start = lo if first_seen is not None else None
     if from_days:
         src = feed.where(F.col("day") < F.lit(end.isoformat()).cast("date"))
     else:
-        src = feed.where(time_between(feed, None, end)).select(
+        src = feed.where(time_between(feed, start, end)).select(
             "user_id", F.to_date("time").alias("day"))
-    users = (src.select("user_id", "day")
-             .groupBy("user_id")
-             .agg(F.min("day").alias("start_day"),
-                  F.bit_or(F.when(F.col("day") >= lo_lit,
-                                  F.expr(f"shiftleft(1L, datediff(day, DATE'{lo}'))"))
-                           ).alias("mask"))
-             .where((F.col("start_day") >= lo_lit)
-                    & (F.col("start_day") < F.lit(a.isoformat()).cast("date"))))
+    day_bit = F.expr(f"shiftleft(1L, datediff(day, DATE'{lo}'))")
+    in_window = (F.col("start_day") >= lo_lit) & (F.col("start_day") < F.lit(a.isoformat()).cast("date"))
+    if first_seen is None:
+        users = (src.select("user_id", "day")
+                 .groupBy("user_id")
+                 .agg(F.min("day").alias("start_day"),
+                      F.bit_or(F.when(F.col("day") >= lo_lit, day_bit)).alias("mask"))
+                 .where(in_window))
+    else:
+        # stored first days: only the cohort window of activity is read, and
+        # only users whose first day falls in it are joined to it
+        cohort = first_seen.select("user_id", "start_day").where(in_window)
+        recent = src.where(F.col("day") >= lo_lit).select("user_id", "day")
+        users = (cohort.join(recent, "user_id")
+                 .groupBy("user_id", "start_day")
+                 .agg(F.bit_or(day_bit).alias("mask")))
 
     # users per (start_day, activity pattern): at most cohorts * 2^(cohorts+1) keys
     patterns = users.groupBy("start_day", "mask").agg(F.count(F.lit(1)).alias("users"))
@@ -85,14 +95,18 @@ def _cohort_counts(feed: DataFrame, as_of, cohorts: int,
     return active, lo
 
 
-def retention(feed: DataFrame, as_of, cohorts: int = 7, from_days: bool = False) -> DataFrame:
+def retention(feed: DataFrame, as_of, cohorts: int = 7, from_days: bool = False,
+              first_seen: DataFrame | None = None) -> DataFrame:
     """Long-form retention.
 
     Columns: start_day, date, active_users, cohort_users, retention_pct
     (active / cohort * 100), cohort_day (days since start_day). With
-    ``from_days=True`` the input is a (user_id, [source,] day) rollup.
+    ``from_days=True`` the input is a (user_id, [source,] day) rollup. A
+    stored ``first_seen`` table (user_id, start_day), kept with
+    ``first_seen_update``, replaces the full-history ``min``: only the last
+    ``cohorts + 1`` days of activity are read.
     """
-    active, lo = _cohort_counts(feed, as_of, cohorts, from_days)
+    active, lo = _cohort_counts(feed, as_of, cohorts, from_days, first_seen)
     lo_lit = F.lit(lo.isoformat()).cast("date")
     # every cohort member is active on its first day, so the cohort size is the
     # day-0 count; the window runs over at most cohorts * (cohorts + 1) rows
