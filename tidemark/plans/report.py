@@ -90,13 +90,15 @@ def read_rollups(spark, store: str) -> dict[str, DataFrame]:
 def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
                  cohorts: int = 7, feed_days: DataFrame | None = None,
                  msg_days: DataFrame | None = None,
-                 post_days: DataFrame | None = None) -> dict[str, DataFrame]:
+                 post_days: DataFrame | None = None,
+                 first_seen: DataFrame | None = None) -> dict[str, DataFrame]:
     """All report tables for run day ``as_of``.
 
     ``feed_days`` / ``msg_days`` / ``post_days`` may come from a rollup store
     (``append_rollups`` / ``read_rollups``); then only the day before
     ``as_of`` is read from the events. Otherwise the user rollups are built
-    from the events up to the end of ``as_of`` and materialized once.
+    from the events up to the end of ``as_of`` and materialized once. A
+    stored ``first_seen`` table lets retention read only its cohort window.
     """
     a = as_date(as_of)
     end = a + dt.timedelta(days=1)
@@ -115,7 +117,7 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
     dau = activity.dau_from_days(feed_days, msg_days, a)
     new_users = activity.new_users_from_days(feed_days)
     aud = audience.audience_from_days(feed_days, a, weeks)
-    ret = retention.retention(feed_days, a, cohorts, from_days=True)
+    ret = retention.retention(feed_days, a, cohorts, from_days=True, first_seen=first_seen)
     return {
         "feed_metrics": feed_m,
         "msg_metrics": msg_m,
