@@ -14,8 +14,9 @@ task, so ordered statistics are computed in two levels instead:
    number of rows below it.
 
 The splits only decide how evenly work is spread; the results are exact
-whatever they are. ``d`` is materialized first, so the split job and the main
-job read the same rows.
+whatever they are. ``d`` is materialized first, so the count, the split job
+and the main job read the same rows; the number of bins grows with the
+number of distinct values (about ``ROWS_PER_BIN`` per bin).
 """
 
 from __future__ import annotations
@@ -27,6 +28,8 @@ from pyspark.sql import functions as F
 from ..session import materialize
 
 DEFAULT_BINS = 256
+ROWS_PER_BIN = 1_000_000      # target distinct values per within-bin window
+MAX_BINS = 100_000
 
 
 def _splits(d: DataFrame, value: str, bins: int) -> list[float]:
@@ -46,6 +49,10 @@ def value_prefix(d: DataFrame, keys: list[str], value: str, counts: list[str],
     """
     if not materialized:
         d = materialize(d)
+    # at least ``bins``, more when there are many distinct values, so one
+    # within-bin window holds about ROWS_PER_BIN rows (the count reads the
+    # materialized table)
+    bins = min(MAX_BINS, max(bins, -(-d.count() // ROWS_PER_BIN)))
     d = d.withColumn("_v", F.col(value).cast("double"))
     splits = _splits(d, "_v", bins)
     if len(splits) < 3:                 # no or one distinct split point: a single bin
