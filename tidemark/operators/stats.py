@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from ..functions.dist import mwu_p_udf, t_two_sided_udf
 from ..functions.hashing import uniform_u32
 from ..functions.poisson import poisson_weight, poisson_weight_hex
+from ..session import default_parallelism
 from .ranks import exact_quantiles, value_prefix
 
 ALPHA = 0.05
@@ -163,7 +164,7 @@ def poisson_bootstrap(users: DataFrame, b: int = 5000, seed: int = 0, first=1, s
     distribution, different realisation).
     """
     g = F.col(group_col)
-    par = max(1, users.sparkSession.sparkContext.defaultParallelism)
+    par = default_parallelism(users.sparkSession)
     if method == "grouped":
         patterns = (users.where(g.isin(first, second))
                     .groupBy(group_col, "likes", "views")

@@ -70,6 +70,15 @@ def build_session(master: str | None = None, app: str = "tidemark",
     return spark
 
 
+def default_parallelism(spark: SparkSession) -> int:
+    """Cores available to the session (a fixed guess where the context is
+    not reachable, as in Spark Connect)."""
+    try:
+        return max(1, spark.sparkContext.defaultParallelism)
+    except Exception:  # noqa: BLE001
+        return int(spark.conf.get("spark.default.parallelism", "200") or 200)
+
+
 def checkpoint_dir(spark: SparkSession) -> str | None:
     """The shared checkpoint folder the cluster names, if any.
 
@@ -77,7 +86,10 @@ def checkpoint_dir(spark: SparkSession) -> str | None:
     context). Only a local-mode session without one gets a private folder,
     which is the test and laptop case; a cluster session never does.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect: the server owns checkpointing
+        return spark.conf.get("spark.checkpoint.dir", None)
     current = sc.getCheckpointDir()
     if current:
         return current
