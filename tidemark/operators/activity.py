@@ -94,8 +94,10 @@ def msg_metrics(messages: DataFrame, as_of, approx_rsd: float | None = None) ->
 def dau_from_days(feed_days: DataFrame, msg_days: DataFrame, as_of) -> DataFrame:
     """``dau_by_source`` over (user, [source,] day) rollups."""
     def active(days, service):
-        return (_before(days, as_of).select("user_id", "day").distinct()
-                .withColumn("source", F.lit(service)))
+        pairs = _before(days, as_of).select("user_id", "day")
+        if "source" in days.columns:      # a (user, source, day) rollup: collapse sources
+            pairs = pairs.distinct()
+        return pairs.withColumn("source", F.lit(service))
 
     both = active(feed_days, FEED).unionByName(active(msg_days, MESSAGE))
     return (both.groupBy("day", "source")
@@ -138,12 +140,23 @@ def actions_from_days(feed_days: DataFrame, msg_days: DataFrame, as_of) -> DataF
 def actions_per_day(feed: DataFrame, messages: DataFrame, as_of) -> DataFrame:
     """Per day over both services: unique_users, total_actions, actions_per_user.
 
-    A user active in both services on one day counts once. Events are counted
-    per (day, user) first, so the per-day step is a count and a sum rather
-    than a distinct count.
+    A user active in both services on one day counts once. The two event
+    streams are unioned as (day, user) rows and counted per (day, user) in
+    one aggregation (partial counts map-side), so the per-day step is a
+    count and a sum rather than a distinct count.
     """
-    return actions_from_days(user_days(feed, as_of, by_source=False),
-                             user_days(messages, as_of, by_source=False), as_of)
+    def rows(df):
+        return (df.where(time_between(df, None, as_of))
+                .select(F.to_date("time").alias("day"), "user_id"))
+
+    per_user = (rows(messages).unionByName(rows(feed))
+                .groupBy("day", "user_id").agg(F.count(F.lit(1)).alias("actions_cnt")))
+    return (per_user.groupBy("day")
+            .agg(F.count(F.lit(1)).alias("unique_users"),
+                 F.sum("actions_cnt").alias("total_actions"))
+            .withColumn("actions_per_user",
+                        F.try_divide(F.col("total_actions"), F.col("unique_users")))
+            .orderBy("day"))
 
 
 # ------------------------------------------------------------------ posts
