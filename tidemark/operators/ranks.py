@@ -14,9 +14,9 @@ task, so ordered statistics are computed in two levels instead:
    number of rows below it.
 
 The splits only decide how evenly work is spread; the results are exact
-whatever they are. ``d`` is materialized first, so the count, the split job
-and the main job read the same rows; the number of bins grows with the
-number of distinct values (about ``ROWS_PER_BIN`` per bin).
+whatever they are. ``d`` is materialized first, so the split job and the
+main job read the same rows; the number of bins grows with the number of
+distinct values (about ``ROWS_PER_BIN`` per bin).
 """
 
 from __future__ import annotations
@@ -33,9 +33,19 @@ MAX_BINS = 100_000
 
 
 def _splits(d: DataFrame, value: str, bins: int) -> list[float]:
-    probs = [i / bins for i in range(1, bins)]
-    qs = d.approxQuantile(value, probs, 1.0 / (4 * bins)) if bins > 1 else []
-    inner = sorted({float(q) for q in qs})
+    """Equi-depth split points for at least ``bins`` bins (more when the
+    number of distinct values needs them); one pass in the common case."""
+    def probs(k):
+        return F.array(*[F.lit(i / k) for i in range(1, k)]) if k > 1 else F.array(F.lit(0.5))
+    row = d.agg(F.count(F.lit(1)).alias("n"),
+                F.percentile_approx(value, probs(bins), 4 * bins).alias("q")).first()
+    need = min(MAX_BINS, max(bins, -(-int(row["n"]) // ROWS_PER_BIN)))
+    qs = row["q"] or []
+    if need > bins:
+        qs = d.approxQuantile(value, [i / need for i in range(1, need)], 1.0 / (4 * need))
+    if bins <= 1 and need <= 1:
+        qs = []
+    inner = sorted({float(q) for q in qs if q is not None})
     return [float("-inf")] + inner + [float("inf")]
 
 
@@ -49,10 +59,6 @@ def value_prefix(d: DataFrame, keys: list[str], value: str, counts: list[str],
     """
     if not materialized:
         d = materialize(d)
-    # at least ``bins``, more when there are many distinct values, so one
-    # within-bin window holds about ROWS_PER_BIN rows (the count reads the
-    # materialized table)
-    bins = min(MAX_BINS, max(bins, -(-d.count() // ROWS_PER_BIN)))
     d = d.withColumn("_v", F.col(value).cast("double"))
     splits = _splits(d, "_v", bins)
     if len(splits) < 3:                 # no or one distinct split point: a single bin
