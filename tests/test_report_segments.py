@@ -115,3 +115,18 @@ def test_backfill_writes_one_partition_per_day(spark):
     fm = spark.read.parquet(os.path.join(out, "feed_metrics")).collect()
     assert sorted(str(r["as_of"]) for r in fm) == days
     assert all(r["day"] == r["as_of"] - dt.timedelta(days=1) for r in fm)
+
+
+def test_command_line_experiment_report(spark):
+    import __spark_entry__ as E
+    from conftest import SF001
+    from tidemark.__main__ import main
+    feed, _ = E._events(spark, SF001)
+    base = tempfile.mkdtemp(prefix="tidemark-cli-exp-")
+    feed.write.parquet(os.path.join(base, "feed"))
+    assert main(["experiment-report", "--feed", os.path.join(base, "feed"), "--start",
+                 "2024-01-02", "--end", "2024-01-08", "--replicates", "200",
+                 "--out", os.path.join(base, "out")]) == 0
+    out = spark.read.parquet(os.path.join(base, "out"))
+    assert {r["method"] for r in out.collect()} >= {"ttest_ctr", "mannwhitney_ctr",
+                                                    "poisson_bootstrap"}

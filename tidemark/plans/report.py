@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, time_between
 from ..operators import activity, audience, retention
-from ..session import materialize
+from ..session import materialize, reuse
 
 # Fixed caption text of the report message (values that must match the
 # original report's wording and layout).
@@ -114,10 +114,12 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
              else activity.unique_posts_from_days(post_days, a))
     feed_m = activity.feed_metrics(feed, a)
     msg_m = activity.msg_metrics(messages, a)
-    dau = activity.dau_from_days(feed_days, msg_days, a)
-    new_users = activity.new_users_from_days(feed_days)
-    aud = audience.audience_from_days(feed_days, a, weeks)
-    ret = retention.retention(feed_days, a, cohorts, from_days=True, first_seen=first_seen)
+    # each of these feeds a second table (its matrix): compute once, read twice
+    dau = reuse(activity.dau_from_days(feed_days, msg_days, a))
+    new_users = reuse(activity.new_users_from_days(feed_days))
+    aud = reuse(audience.audience_from_days(feed_days, a, weeks))
+    ret = reuse(retention.retention(feed_days, a, cohorts, from_days=True,
+                                    first_seen=first_seen))
     return {
         "feed_metrics": feed_m,
         "msg_metrics": msg_m,

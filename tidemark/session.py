@@ -131,3 +131,10 @@ def broadcast_if_small(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
 
     small = materialize(df)
     return F.broadcast(small) if small.count() <= max_rows else small
+
+
+def reuse(df: DataFrame) -> DataFrame:
+    """Keep a small derived frame that several outputs read (lazy: it is
+    computed by the first action and read back by the next ones; lost blocks
+    are recomputed from lineage)."""
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
