@@ -23,16 +23,6 @@ def monday(d) -> dt.date:
     return d - dt.timedelta(days=d.weekday())
 
 
-def day_of(col: str | Column) -> Column:
-    """Calendar day of a timestamp column."""
-    return F.to_date(col)
-
-
-def week_of(col: str | Column) -> Column:
-    """Monday of the week of a timestamp or date column."""
-    return F.trunc(F.to_date(col), "week")
-
-
 def _bound(dtype: T.DataType, d: dt.date) -> Column:
     text = d.isoformat()
     if isinstance(dtype, T.TimestampNTZType):
@@ -57,7 +47,3 @@ def time_between(df: DataFrame, start=None, end=None, col: str = "time") -> Colu
     if end is not None:
         cond = cond & (F.col(col) < _bound(dtype, as_date(end)))
     return cond
-
-
-def date_lit(d) -> Column:
-    return F.lit(as_date(d).isoformat()).cast("date")

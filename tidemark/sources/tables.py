@@ -26,10 +26,6 @@ MESSAGE_SCHEMA = T.StructType([
     T.StructField("receiver_id", T.LongType(), True),
 ])
 
-ORDERS_COLUMNS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice",
-                  "o_orderdate", "o_orderpriority"]
-LINEITEM_COLUMNS = ["l_orderkey", "l_quantity", "l_extendedprice", "l_discount"]
-
 
 def read_table(spark: SparkSession, base: str, name: str) -> DataFrame:
     """One Parquet table under ``base`` (``<base>/<name>.parquet``)."""
