@@ -130,3 +130,30 @@ def test_command_line_experiment_report(spark):
     out = spark.read.parquet(os.path.join(base, "out"))
     assert {r["method"] for r in out.collect()} >= {"ttest_ctr", "mannwhitney_ctr",
                                                     "poisson_bootstrap"}
+
+
+@pytest.mark.parametrize("grain,step,year", [("day", "1 day", "364 days"),
+                                             ("week", "7 days", "364 days"),
+                                             ("month", "1 month", "12 months"),
+                                             ("quarter", "3 months", "12 months"),
+                                             ("year", "12 months", "12 months")])
+def test_sales_trend_previous_periods_every_grain(spark, grain, step, year):
+    from conftest import SF001
+    from tidemark.sources import read_table
+    orders = read_table(spark, SF001, "orders")
+    got = {r["period"]: (r["revenue"], r["prev_revenue"], r["yoy_revenue"])
+           for r in segments.sales_trend(orders, grain).collect()}
+    orders.createOrReplaceTempView("o_trend")
+    per = spark.sql(f"""SELECT CAST(date_trunc('{grain}', o_orderdate) AS DATE) AS p,
+                               SUM(o_totalprice) AS r FROM o_trend GROUP BY 1""")
+    per.createOrReplaceTempView("per_trend")
+    want = spark.sql(f"""
+        SELECT a.p, a.r, b.r AS pr, c.r AS yr FROM per_trend a
+        LEFT JOIN per_trend b ON b.p = a.p - INTERVAL {step}
+        LEFT JOIN per_trend c ON c.p = a.p - INTERVAL {year}""").collect()
+    assert len(want) == len(got)
+    for w in want:
+        r, pr, yr = got[w["p"]]
+        assert r == pytest.approx(w["r"])
+        assert (pr is None and w["pr"] is None) or pr == pytest.approx(w["pr"])
+        assert (yr is None and w["yr"] is None) or yr == pytest.approx(w["yr"])

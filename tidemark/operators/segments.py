@@ -31,10 +31,11 @@ PEAK_MONTHS = (11, 12)
 FEATURES = ("recency_days", "frequency", "monetary", "avg_order_value",
             "avg_quantity", "peak_share")
 
-# period length and the shift to the same period one year earlier
+# truncation unit, forward shift by n units, one period, one year: a period's
+# revenue is re-emitted under the next period and under the same period a year on
 _GRAINS = {
-    "day": ("day", F.date_sub, 1, 364),
-    "week": ("week", F.date_sub, 7, 364),
+    "day": ("day", F.date_add, 1, 364),
+    "week": ("week", F.date_add, 7, 364),
     "month": ("month", F.add_months, 1, 12),
     "quarter": ("quarter", F.add_months, 3, 12),
     "year": ("year", F.add_months, 12, 12),
