@@ -157,3 +157,24 @@ def test_sales_trend_previous_periods_every_grain(spark, grain, step, year):
         assert r == pytest.approx(w["r"])
         assert (pr is None and w["pr"] is None) or pr == pytest.approx(w["pr"])
         assert (yr is None and w["yr"] is None) or yr == pytest.approx(w["yr"])
+
+
+def test_segments_choose_k_by_silhouette(seg):
+    feats, _ = seg
+    auto = segments.customer_segments(feats, k=None, k_range=range(2, 4))
+    rows = auto.collect()
+    assert len(rows) == feats.count()
+    ks = {r["segment"] for r in rows}
+    assert 2 <= len(ks) <= 3
+    assert len({r["silhouette"] for r in rows}) == 1
+
+
+def test_smoothed_value_ctr_reproduces_plain_ttest(spark):
+    import __spark_entry__ as E
+    from conftest import SF01
+    from tidemark.plans.experiment_report import experiment_report
+    feed, _ = E._events(spark, SF01)
+    rep = {r["method"]: r for r in experiment_report(
+        feed, E.EXP_START, E.EXP_END, b=50, smoothed_value="ctr").collect()}
+    assert rep["ttest_smoothed_ctr"]["statistic"] == rep["ttest_ctr"]["statistic"]
+    assert rep["ttest_smoothed_ctr"]["p_value"] == rep["ttest_ctr"]["p_value"]
