@@ -231,3 +231,16 @@ def test_grouped_bootstrap_same_distribution_and_partition_free(spark):
     # same distribution: means and spreads agree within sampling error
     assert abs(a.mean() - c.mean()) < 4 * c.std() / np.sqrt(len(c)) * 1.5
     assert a.std() == pytest.approx(c.std(), rel=0.1)
+
+
+def test_xxhash64_paths_are_deterministic_and_in_range(spark):
+    users = spark.createDataFrame(
+        [(1 + (i % 2), i, i % 4, 1 + i % 5) for i in range(120)],
+        "exp_group int, user_id long, likes long, views long"
+    ).withColumn("ctr", F.try_divide("likes", "views"))
+    a = stats.poisson_bootstrap(users, 64, 5, hash_method="xxhash64").collect()
+    b = stats.poisson_bootstrap(users.repartition(5), 64, 5, hash_method="xxhash64").collect()
+    assert a == b and len(a) == 64
+    bk = experiment.bucket_ctr(users, 7, hash_method="xxhash64").collect()
+    assert {r["bucket"] for r in bk} <= set(range(7))
+    assert sum(1 for _ in bk) <= 14

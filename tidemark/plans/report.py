@@ -142,7 +142,9 @@ def write_report(tables: dict[str, DataFrame], path: str, as_of, fmt: str = "par
 
     Dynamic partition overwrite replaces only the run day's partition, so a
     re-run or back-fill of one day is idempotent and readers of one day get
-    partition pruning.
+    partition pruning. A table with no rows for the day writes no partition
+    (until some day has rows its folder holds no data files, so readers
+    should pass the table's schema).
     """
     day = as_date(as_of).isoformat()
     for name, df in tables.items():
