@@ -25,7 +25,7 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import materialize
+from ..session import broadcast_if_small, materialize
 
 DEFAULT_BINS = 256
 ROWS_PER_BIN = 1_000_000      # target distinct values per within-bin window
@@ -72,9 +72,10 @@ def value_prefix(d: DataFrame, keys: list[str], value: str, counts: list[str],
     before_bin = totals.select(*keys, "_bin", *[
         F.coalesce(F.sum(f"_t_{c}").over(wbin), F.lit(0)).alias(f"_bb_{c}") for c in counts])
     # keys x bins rows: bounded by ``bins`` alone when there are no keys,
-    # otherwise AQE picks broadcast from the measured size.
-    if not keys:
-        before_bin = F.broadcast(before_bin)
+    # otherwise broadcast after a size check. Joining it by shuffle would
+    # hash the value table by the keys, and a key (an experiment arm) can
+    # hold half of all rows.
+    before_bin = F.broadcast(before_bin) if not keys else broadcast_if_small(before_bin)
     joined = binned.join(before_bin, [*keys, "_bin"])
     win = (Window.partitionBy(*keys, "_bin").orderBy(value)
            .rowsBetween(Window.unboundedPreceding, -1))
@@ -99,8 +100,9 @@ def exact_quantiles(df: DataFrame, keys: list[str], value: str, probs: dict[str,
                     .groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_c")))
     p = value_prefix(d, keys, value, ["_c"], bins, materialized=True)
     if keys:
-        # one row per group; AQE broadcasts it when the measured size is small
-        n = d.groupBy(*keys).agg(F.sum("_c").alias("_n"))
+        # one row per group, broadcast after a size check (a shuffle join would
+        # hash the value table by the group keys)
+        n = broadcast_if_small(d.groupBy(*keys).agg(F.sum("_c").alias("_n")))
         p = p.join(n, keys)
     else:
         # a single group: the total is a scalar subquery, evaluated once
