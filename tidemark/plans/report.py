@@ -169,7 +169,10 @@ def backfill(feed: DataFrame, messages: DataFrame, start, end, path: str,
     done = []
     day = s
     while day < e:
-        write_report(daily_report(feed, messages, day, **rollups), path, day)
+        tables = daily_report(feed, messages, day, **rollups)
+        write_report(tables, path, day)
+        for df in tables.values():      # release the day's cached shared tables
+            df.unpersist()
         done.append(day.isoformat())
         day += dt.timedelta(days=1)
     return done
