@@ -99,6 +99,8 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
     ``as_of`` is read from the events. Otherwise the user rollups are built
     from the events up to the end of ``as_of`` and materialized once. A
     stored ``first_seen`` table lets retention read only its cohort window.
+    The four tables that also feed a matrix are persisted; call
+    ``unpersist()`` on the returned frames once they are written.
     """
     a = as_date(as_of)
     end = a + dt.timedelta(days=1)
