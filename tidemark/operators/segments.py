@@ -28,6 +28,17 @@ from ..functions.dates import as_date, time_between
 from .stats import mann_whitney
 
 PEAK_MONTHS = (11, 12)
+MONEY = "decimal(18,2)"     # prices are cents: summed exactly, whatever the order
+
+
+def money_sum(col: str):
+    """Exact sum of a price column (as cents), returned as a double.
+
+    A double sum depends on the order rows arrive in, so the same query could
+    differ in the last digits between runs or partitionings; a decimal sum
+    does not.
+    """
+    return F.sum(F.col(col).cast(MONEY))
 FEATURES = ("recency_days", "frequency", "monetary", "avg_order_value",
             "avg_quantity", "peak_share")
 
@@ -56,7 +67,7 @@ def sales_trend(orders: DataFrame, grain: str = "month") -> DataFrame:
     per = (orders.groupBy(F.date_trunc(unit, "o_orderdate").cast("date").alias("period"))
            .agg(F.count(F.lit(1)).alias("orders"),
                 F.count_distinct("o_custkey").alias("customers"),
-                F.sum("o_totalprice").alias("revenue")))
+                money_sum("o_totalprice").cast("double").alias("revenue")))
     none = F.lit(None)
     views = F.array(
         F.struct(F.col("period").alias("p"), F.col("orders").alias("o"),
@@ -89,11 +100,11 @@ def sales_trend(orders: DataFrame, grain: str = "month") -> DataFrame:
 def seasonal_profile(orders: DataFrame) -> DataFrame:
     """Per calendar month over all years: orders, revenue, revenue_share."""
     per = (orders.groupBy(F.month("o_orderdate").alias("month"))
-           .agg(F.count(F.lit(1)).alias("orders"), F.sum("o_totalprice").alias("revenue")))
+           .agg(F.count(F.lit(1)).alias("orders"), money_sum("o_totalprice").alias("rev")))
     # ``per`` has at most 12 rows, so a whole-table window over it is cheap
-    total = F.sum("revenue").over(Window.partitionBy())
-    return (per.select("month", "orders", "revenue",
-                       F.try_divide(F.col("revenue"), total).alias("revenue_share"))
+    total = F.sum("rev").over(Window.partitionBy()).cast("double")
+    return (per.select("month", "orders", F.col("rev").cast("double").alias("revenue"),
+                       F.try_divide(F.col("rev").cast("double"), total).alias("revenue_share"))
             .orderBy("month"))
 
 
@@ -121,14 +132,14 @@ def customer_features(orders: DataFrame, lineitem: DataFrame, as_of,
     as_of_lit = F.lit(a.isoformat()).cast("date")
     return (j.groupBy(F.col("o_custkey").alias("custkey"))
             .agg(F.count(F.lit(1)).alias("frequency"),
-                 F.sum("o_totalprice").alias("monetary"),
-                 F.avg("o_totalprice").alias("avg_order_value"),
+                 money_sum("o_totalprice").cast("double").alias("monetary"),
                  F.max("o_orderdate").alias("_last"),
                  F.min("o_orderdate").alias("_first"),
                  F.avg(F.coalesce("qty", F.lit(0.0))).alias("avg_quantity"),
                  F.avg(F.coalesce("lines", F.lit(0))).alias("avg_lines"),
                  F.avg(peak).alias("peak_share"))
-            .select("custkey", "frequency", "monetary", "avg_order_value",
+            .select("custkey", "frequency", "monetary",
+                    (F.col("monetary") / F.col("frequency")).alias("avg_order_value"),
                     F.datediff(as_of_lit, F.to_date("_last")).alias("recency_days"),
                     F.datediff(as_of_lit, F.to_date("_first")).alias("tenure_days"),
                     "avg_quantity", "avg_lines", "peak_share",
