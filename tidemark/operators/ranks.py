@@ -64,7 +64,8 @@ def value_prefix(d: DataFrame, keys: list[str], value: str, counts: list[str],
     if len(splits) < 3:                 # no or one distinct split point: a single bin
         binned = d.withColumn("_bin", F.lit(0)).drop("_v")
     else:
-        binned = (Bucketizer(splits=splits, inputCol="_v", outputCol="_binf")
+        binned = (Bucketizer(splits=splits, inputCol="_v", outputCol="_binf",
+                             handleInvalid="keep")   # NaN: an extra last bin
                   .transform(d).withColumn("_bin", F.col("_binf").cast("int"))
                   .drop("_binf", "_v"))
     totals = binned.groupBy(*keys, "_bin").agg(*[F.sum(c).alias(f"_t_{c}") for c in counts])
