@@ -35,3 +35,15 @@ def test_single_value_and_empty_histogram(spark):
     none = _users(spark, [(1, 1, 0, 0, None)])
     e = stats.histogram(none, "ctr", bins=3).collect()
     assert [r["n"] for r in e] == [0, 0, 0]
+
+
+def test_nan_values(spark):
+    df = spark.createDataFrame([(1, float(x)) for x in range(1, 10)] + [(1, float("nan"))]
+                               + [(2, float(x)) for x in (2, 4, 6, 8)], "g int, v double")
+    # NaN sorts last (Spark's order): the median of 1..9 and NaN is 5.5
+    med = {r["g"]: r["m"] for r in exact_quantiles(df, ["g"], "v", {"m": 0.5}, bins=3).collect()}
+    assert med == {1: 5.5, 2: 5.0}
+    assert stats.mwu_stats(df, "g", "v", 1, 2, bins=3).collect()[0]["u1"] == 22.0
+    # histograms leave NaN out
+    h = stats.histogram(df, "v", bins=4).collect()
+    assert sum(r["n"] for r in h) == 13 and h[-1]["bin_hi"] == 9.0

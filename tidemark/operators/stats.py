@@ -250,7 +250,8 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins="auto") -> Da
     one aggregate row read back to size the bins; the counting is a normal
     grouped aggregation.
     """
-    vals = df.where(F.col(col).isNotNull())
+    # NULL and NaN are left out, as the charting default does
+    vals = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
     row = vals.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"),
                    F.max(col).alias("hi")).first()
     n, lo, hi = int(row["n"]), row["lo"], row["hi"]
