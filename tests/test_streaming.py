@@ -26,3 +26,16 @@ def test_stream_refresh_matches_batch(spark):
     got = spark.read.parquet(sink).select("day", "dau", "views", "likes", "ctr")
     want = feed_metrics_range(feed, "2024-01-01", "2024-02-01")
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
+
+
+def test_stream_one_file_per_batch(spark):
+    feed, _ = load_event_tables(spark, SF001)
+    base = tempfile.mkdtemp(prefix="tidemark-stream-mf-")
+    src, sink, ckpt = (os.path.join(base, x) for x in ("src", "sink", "ckpt"))
+    # three files whose days overlap, read one per micro-batch
+    feed.repartition(3, "user_id").write.parquet(os.path.join(src, "all"))
+    q = start_feed_metrics_stream(spark, src + "/*", sink, ckpt, max_files_per_trigger=1)
+    q.awaitTermination()
+    got = spark.read.parquet(sink).select("day", "dau", "views", "likes", "ctr")
+    want = feed_metrics_range(feed, "2024-01-01", "2024-02-01")
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in want.collect())
