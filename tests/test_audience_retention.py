@@ -92,3 +92,11 @@ def test_retention_with_stored_first_days(spark):
     c = retention.retention(user_days(feed), E.RETENTION_AS_OF, from_days=True,
                             first_seen=first).collect()
     assert a == b == c
+
+
+def test_two_week_gap(make_feed):
+    # active in weeks of 2024-01-01 and 2024-01-22 only: gone once, then new again
+    feed = make_feed([(1, "2024-01-02 10:00:00", "view"), (1, "2024-01-23 10:00:00", "view")])
+    got = _rows(audience.weekly_audience(feed, D(2024, 1, 24), weeks=8))
+    assert got == [(D(2024, 1, 1), "new", 1), (D(2024, 1, 8), "gone", -1),
+                   (D(2024, 1, 22), "new", 1)]
