@@ -8,6 +8,11 @@ count sketch of fixed size) and differ in how they order the rest. The first ord
 makes candidates through an inverted index; the others and the exact
 similarity are then checked on the sets themselves.
 
+Before that, a class goes no further if more than n - ceil(t n) of its tokens
+are in no other class: no set can then be similar enough. That is counted
+exactly over a hash sample of all tokens (a sample can only count too few), so
+documents that merely share passages never meet in the index.
+
 Equal sets are one class from the start. A token that few classes share makes
 all its pairs; for one that many share, the classes are first linked to a
 pivot (the class most central in its groups) and verified, and only pairs of
@@ -46,6 +51,7 @@ class Join:
     heavy: int = 64              # classes from which a token's group is linked by pivots first
     block: int = 1024            # classes of a heavy group compared in one go
     pivot_rounds: int = 2
+    sample: int = 4              # one token in so many counts as lone or not
     buckets: int | None = None   # of the inverted index; twice the session's shuffle partitions by default
 
 
@@ -174,16 +180,108 @@ def _prefix(tokens: np.ndarray, frequency: np.ndarray, order: int, percent: int)
     return tokens if p >= len(tokens) else tokens[np.argpartition(key, p - 1)[:p]]
 
 
+def _by_bucket(rows: np.ndarray, bucket: np.ndarray) -> tuple[pa.Array, pa.Array]:
+    """Packed rows of every bucket."""
+    order = np.argsort(bucket, kind="stable")
+    rows, bucket = rows[order], bucket[order]
+    some, first = np.unique(bucket, return_index=True)
+    edge = np.append(first, len(rows))
+    return (pa.array(some, pa.int32()),
+            pa.array([rows[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary()))
+
+
+_RUN = np.dtype([("class", "<i8"), ("n", "<u4")])
+
+
+def _lone_tokens(docs: DataFrame, join: Join, buckets: int) -> DataFrame:
+    """(class, lone): how many of a class's sampled tokens no other class has.
+
+    Per task batch and bucket, tokens travel as six bytes behind (class, number of
+    tokens); counts travel packed too, so nothing here is a row per token.
+    """
+    low6 = np.uint64((1 << 48) - 1)
+
+    def sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            known: dict[int, np.ndarray] = {}
+            for _, tokens in _sets_of(batch, 0, join.k):
+                if len(tokens):
+                    known[set_digest(tokens)] = tokens[(tokens >> np.uint64(48)) % np.uint64(join.sample) == 0]
+            known = {c: t for c, t in known.items() if len(t)}
+            if not known:
+                continue
+            every = np.concatenate(list(known.values()))
+            owner = np.repeat(np.array(list(known), np.int64), [len(t) for t in known.values()])
+            bucket = (every % np.uint64(buckets)).astype(np.int64)
+            order = np.lexsort((owner, bucket))
+            every, owner, bucket = every[order] & low6, owner[order], bucket[order]
+            some, first = np.unique(bucket, return_index=True)
+            data = []
+            for a, b in zip(first.tolist(), np.append(first[1:], len(every)).tolist(), strict=True):
+                cls, n = np.unique(owner[a:b], return_counts=True)
+                head = np.empty(len(cls), _RUN)
+                head["class"], head["n"] = cls, n
+                raw = np.ascontiguousarray(every[a:b]).view(np.uint8).reshape(-1, 8)[:, :6]
+                data.append(np.uint32(len(cls)).tobytes() + head.tobytes() + raw.tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(some, pa.int32()), pa.array(data, pa.binary())],
+                                             names=["bucket", "data"])
+
+    def count(table: pa.Table) -> pa.Table:
+        tokens, owners = [], []
+        for d in (x.as_py() for x in table.column("data")):
+            k = int(np.frombuffer(d, np.uint32, 1)[0])
+            head = np.frombuffer(d, _RUN, k, 4)
+            raw = np.frombuffer(d, np.uint8, offset=4 + k * _RUN.itemsize).reshape(-1, 6)
+            wide = np.zeros((len(raw), 8), np.uint8)
+            wide[:, :6] = raw
+            tokens.append(wide.view(np.uint64).ravel())
+            owners.append(np.repeat(head["class"], head["n"]))
+        pair = np.unique(np.rec.fromarrays((np.concatenate(tokens), np.concatenate(owners)), names="token,owner"))
+        _, first, n = np.unique(pair["token"], return_index=True, return_counts=True)
+        cls, lone = np.unique(pair["owner"][first[n == 1]], return_counts=True)
+        rows = np.empty(len(cls), _RUN)
+        rows["class"], rows["n"] = cls, lone
+        part, data = _by_bucket(rows, (cls.view(np.uint64) % np.uint64(buckets)).astype(np.int64))
+        return pa.table({"part": part, "data": data})
+
+    def total(table: pa.Table) -> pa.Table:
+        rows = np.frombuffer(b"".join(table.column("data").to_pylist()), _RUN)
+        cls, back = np.unique(rows["class"], return_inverse=True)
+        return pa.table({"class": cls, "lone": np.bincount(back, rows["n"]).astype(np.int64)})
+
+    return (docs.select(text_column().alias("text")).mapInArrow(sample, "bucket int, data binary")
+            .groupBy("bucket").applyInArrow(count, "part int, data binary")
+            .groupBy("part").applyInArrow(total, "class long, lone long"))
+
+
+def _bit_filter(slots: DataFrame) -> np.ndarray:
+    """Bitmap of ``FILTER_BITS`` bits (as words) of the column ``slot``."""
+    filled = np.zeros(1 << (FILTER_BITS - 6), np.int64)
+    for row in (slots.groupBy(F.shiftright("slot", 6).cast("int").alias("word"))
+                .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))).collect():
+        filled[row["word"]] = row["bits"]
+    return filled
+
+
+def _passes(filled: np.ndarray, slot: np.ndarray) -> np.ndarray:
+    return ((filled[slot >> 6] >> (slot & 63)) & 1).astype(bool)
+
+
 _POSTING = np.dtype([("token", "<u8"), ("class", "<i8"), ("n", "<u4")])
 
 
-def _postings(docs: DataFrame, frequency: np.ndarray, join: Join, buckets: int) -> DataFrame:
-    """The first order's index, packed: a row per task batch and bucket."""
+def _postings(docs: DataFrame, linkable: DataFrame, frequency: np.ndarray, join: Join, buckets: int) -> DataFrame:
+    """The first order's index of the ``linkable`` classes (and a few that pass their bit
+    filter by chance), packed: a row per task batch and bucket."""
+    mask = (1 << FILTER_BITS) - 1
+    filled = _bit_filter(linkable.select(F.col("class").bitwiseAND(F.lit(mask)).alias("slot")))
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             seen, parts = set(), []
             for _, tokens in _sets_of(batch, 0, join.k):
-                if len(tokens) and (digest := set_digest(tokens)) not in seen:
+                if (len(tokens) and (digest := set_digest(tokens)) not in seen
+                        and _passes(filled, np.array([digest & mask]))[0]):
                     seen.add(digest)
                     head = _prefix(tokens, frequency, 0, join.percent)
                     part = np.empty(len(head), _POSTING)
@@ -191,13 +289,8 @@ def _postings(docs: DataFrame, frequency: np.ndarray, join: Join, buckets: int)
                     parts.append(part)
             if parts:
                 every = np.concatenate(parts)
-                bucket = (every["token"] % np.uint64(buckets)).astype(np.int64)
-                every, bucket = every[np.argsort(bucket, kind="stable")], np.sort(bucket)
-                some, first = np.unique(bucket, return_index=True)
-                edge = np.append(first, len(every))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(some, pa.int32()),
-                     pa.array([every[a:b].tobytes() for a, b in zip(edge[:-1], edge[1:], strict=True)], pa.binary())],
+                    [*_by_bucket(every, (every["token"] % np.uint64(buckets)).astype(np.int64))],
                     names=["bucket", "postings"])
 
     return docs.select(text_column().alias("text")).mapInArrow(run, "bucket int, postings binary")
@@ -244,17 +337,11 @@ def _candidate_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
     then keeps exactly the wanted ones.
     """
     slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    filled = np.zeros(1 << (FILTER_BITS - 6), np.int64)
-    for row in (classes.select(slot.alias("slot"))
-                .groupBy(F.shiftright("slot", 6).cast("int").alias("word"))
-                .agg(F.bit_or(F.expr("shiftleft(1L, cast(slot & 63 as int))")).alias("bits"))).collect():
-        filled[row["word"]] = row["bits"]
+    filled = _bit_filter(classes.select(slot.alias("slot")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            at = batch.column(2).to_numpy()
-            wanted = (filled[at >> 6] >> (at & 63)) & 1
-            batch = batch.filter(pa.array(wanted.astype(bool)))
+            batch = batch.filter(pa.array(_passes(filled, batch.column(2).to_numpy())))
             rows = [(i, tokens) for i, tokens in _sets_of(batch, 1, k) if len(tokens)] if batch.num_rows else []
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array([i for i, _ in rows], pa.int64())),
@@ -318,6 +405,13 @@ def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, frequency: np.
             .mapInArrow(run, "a long, b long"))
 
 
+def _apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
+    """The pairs whose ends are in different components."""
+    one, two = (label.select(F.col("node").alias(f"_{c}"), F.col("component").alias(f"_c{c}")) for c in "ab")
+    return (pairs.join(one, F.col("a") == F.col("_a"), "left").join(two, F.col("b") == F.col("_b"), "left")
+            .where(F.coalesce("_ca", "a") != F.coalesce("_cb", "b")).select("a", "b"))
+
+
 def _open(heavy: DataFrame, label: DataFrame) -> DataFrame:
     """Heavy rows with their components, of the tokens whose classes are in two components or more."""
     group = heavy.join(label, F.col("class") == F.col("node"), "left").select(
@@ -388,13 +482,26 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     profile = materialize(_profile(docs, join.k))
     table = profile.where("slice is null").select("doc_id", "class", "n", "parity")
     frequency = _sketch(profile)
-    shared = materialize(_shared(_postings(docs, frequency, join, join.buckets or 2 * width(spark)), join))
-    classes = materialize(table.where("n > 0").groupBy("class").agg(
-        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("parity").alias("parity")))
+    buckets = join.buckets or 2 * width(spark)
+    lone = _lone_tokens(docs, join, max(1, buckets // 2)).select(F.col("class").alias("_class"), "lone")
+    classes = materialize(
+        table.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+                                                  F.first("parity").alias("parity"))
+        .join(lone, F.col("class") == F.col("_class"), "left")
+        .where(F.coalesce("lone", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * join.percent / 100)).drop("_class", "lone"))
+    shared = materialize(_shared(_postings(docs, classes, frequency, join, buckets), join))
     heavy = shared.where("b is null").select("token", F.col("a").alias("class"))
     tried = materialize(_possible(shared.where("b is not null").select("a", "b").distinct(), classes, join.percent))
-    links = materialize(_links(tried, docs, classes, frequency, join))
+    # one partner of every class first; of the other pairs, those between components
+    both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    some = both.groupBy("a").agg(F.min("b").alias("b"))
+    some = materialize(some.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links = materialize(_links(some, docs, classes, frequency, join))
     label = components(links)
+    rest = materialize(_apart(tried.join(some, ["a", "b"], "left_anti"), label))
+    if not rest.isEmpty():
+        links = links.unionByName(materialize(_links(rest, docs, classes, frequency, join)))
+        label = components(links)
     for round_no in range(join.pivot_rounds + 1):
         group = materialize(_open(heavy, label))
         if group.isEmpty():
