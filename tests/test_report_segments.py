@@ -198,3 +198,29 @@ def test_backfill_from_store_matches_events(spark):
 
     for name in ("dau", "audience", "retention", "posts", "message", "new_users"):
         assert rows(os.path.join(a, name)) == rows(os.path.join(b, name)), name
+
+
+def test_caption_stays_when_one_service_is_silent(make_feed, make_msgs):
+    from tidemark.operators import activity
+    from tidemark.plans.report import report_message
+    feed = make_feed([(1, "2024-01-30 10:00:00", "view")])
+    msgs = make_msgs([])
+    rows = report_message(activity.feed_metrics(feed, "2024-01-31"), activity.msg_metrics(msgs, "2024-01-31")).collect()
+    assert len(rows) == 1 and "Msgs sent: 0" in rows[0]["message"]
+
+
+def test_rerun_without_rows_clears_the_day(spark, tmp_path):
+    from tidemark.plans.report import write_report
+    df = spark.createDataFrame([(1,)], "x int")
+    for day in ("2024-01-01", "2024-01-02"):
+        write_report({"t": df}, str(tmp_path), day)
+    write_report({"t": df.limit(0)}, str(tmp_path), "2024-01-02")
+    assert [str(r["as_of"]) for r in spark.read.parquet(f"{tmp_path}/t").collect()] == ["2024-01-01"]
+
+
+def test_late_day_lowers_first_seen(spark, make_feed):
+    from tidemark.operators.retention import first_seen_update
+    seen = spark.sql("SELECT 1L AS user_id, DATE'2024-01-03' AS start_day")
+    feed = make_feed([(1, "2024-01-01 09:00:00", "view"), (2, "2024-01-01 09:00:00", "view")])
+    got = {r["user_id"]: str(r["start_day"]) for r in first_seen_update(seen, feed, "2024-01-01").collect()}
+    assert got == {1: "2024-01-01", 2: "2024-01-01"}

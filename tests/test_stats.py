@@ -244,3 +244,36 @@ def test_xxhash64_paths_are_deterministic_and_in_range(spark):
     bk = experiment.bucket_ctr(users, 7, hash_method="xxhash64").collect()
     assert {r["bucket"] for r in bk} <= set(range(7))
     assert sum(1 for _ in bk) <= 14
+
+
+def test_student_tail_one_method_for_all_df():
+    from tidemark.functions.dist import norm_sf, t_two_sided
+    assert t_two_sided(1.0, 1) == pytest.approx(0.5, rel=1e-12)
+    assert t_two_sided(12.706204736432095, 1) == pytest.approx(0.05, rel=1e-10)
+    assert t_two_sided(2.2281388519649385, 10) == pytest.approx(0.05, rel=1e-10)
+    # df = 2 has a closed form, also far out
+    for t in (0.1, 3.0, 1e6):
+        exact = 2 / ((2 + t * t) ** 0.5 * ((2 + t * t) ** 0.5 + t))
+        assert t_two_sided(t, 2) == pytest.approx(exact, rel=1e-9)
+    # both sides of the former switch agree, also relatively in the far tail
+    for t in (2.0, 20.0, 30.0):
+        assert t_two_sided(t, 99_999.0) == pytest.approx(t_two_sided(t, 100_001.0), rel=1e-4 * t * t)
+    assert t_two_sided(2.0, 1e12) == pytest.approx(2 * norm_sf(2.0), rel=1e-9)
+
+
+def test_degenerate_tests_have_answers(spark):
+    from tidemark.operators.stats import mann_whitney, welch_ttest
+    df = spark.createDataFrame([(1, 1.0)] * 3 + [(2, 2.0)] * 3, "g int, v double")
+    r = welch_ttest(df, "g", "v", 1, 2).first()
+    assert r["t"] == float("-inf") and r["p_value"] == 0.0 and r["significant"]
+    tied = spark.createDataFrame([(1, 5.0)] * 10 + [(2, 5.0)] * 12, "g int, v double")
+    assert mann_whitney(tied, "g", "v", 1, 2).first()["p_value"] == 1.0
+
+
+def test_mwu_method_does_not_follow_size():
+    from tidemark.functions.dist import mwu_p
+    # 1 value against 2.1 million: exact before and after the former limit
+    assert mwu_p(2_100_000.0, 1, 2_100_000, 1.7, False) == pytest.approx(2 / 2_100_001)
+    assert mwu_p(3.0, 2, 2, 1.0, False, "asymptotic") != mwu_p(3.0, 2, 2, 1.0, False, "exact")
+    with pytest.raises(ValueError, match="asymptotic"):
+        mwu_p(1.0, 8, 10 ** 9, 0.0, False)

@@ -2,81 +2,72 @@
 
 Statistics are computed by Spark aggregations; only the final tail
 probability of a one-row result is evaluated here, through Arrow-batched
-pandas UDFs. No scipy: the Student tail uses the regularised incomplete beta
-(continued fraction), the normal tail ``math.erfc``.
+pandas UDFs. No scipy: the Student tail is a quotient of two
+integrals by double-exponential quadrature, the normal tail ``math.erfc``.
 """
 
 from __future__ import annotations
 
 import math
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 
-def _betacf(a: float, b: float, x: float) -> float:
-    """Continued fraction of the incomplete beta (modified Lentz)."""
-    tiny, eps = 1e-300, 1e-15
-    qab, qap, qam = a + b, a + 1.0, a - 1.0
-    c, d = 1.0, 1.0 - qab * x / qap
-    d = tiny if abs(d) < tiny else d
-    d = 1.0 / d
-    h = d
-    for m in range(1, 10000):
-        m2 = 2 * m
-        aa = m * (b - m) * x / ((qam + m2) * (a + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        h *= d * c
-        aa = -(a + m) * (qab + m) * x / ((a + m2) * (qap + m2))
-        d = 1.0 + aa * d
-        d = tiny if abs(d) < tiny else d
-        c = 1.0 + aa / c
-        c = tiny if abs(c) < tiny else c
-        d = 1.0 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1.0) < eps:
-            break
-    return h
-
-
-def betainc(a: float, b: float, x: float) -> float:
-    """Regularised incomplete beta I_x(a, b)."""
-    if x <= 0.0:
-        return 0.0
-    if x >= 1.0:
-        return 1.0
-    lbt = (math.lgamma(a + b) - math.lgamma(a) - math.lgamma(b)
-           + a * math.log(x) + b * math.log1p(-x))
-    if x < (a + 1.0) / (a + b + 2.0):
-        return math.exp(lbt) * _betacf(a, b, x) / a
-    return 1.0 - math.exp(lbt) * _betacf(b, a, 1.0 - x) / b
+_STEPS = np.linspace(-3.6, 3.6, 241)   # of the double-exponential rule; its weights vanish beyond
+
 
+def _sine_power(power: float, top: float, rest: float) -> float:
+    """Integral of (sin x / sin top) ** power from 0 to ``top``; ``rest`` is pi/2 - top.
 
-LARGE_DF = 1e5
+    Double-exponential quadrature over the part of the range where the
+    integrand is above e**-60; that part shrinks like 1/sqrt(power), so the same
+    nodes serve every power. Near pi/2 the sine is taken from the distance to
+    it, so that high powers keep their digits.
+    """
+    def log_sine(x: np.ndarray, to_half_pi: np.ndarray) -> np.ndarray:
+        return np.where(to_half_pi < 0.8, 0.5 * np.log1p(-np.sin(np.minimum(to_half_pi, 0.8)) ** 2), np.log(np.sin(x)))
+
+    log_top, low, high = float(log_sine(np.float64(top), np.float64(rest))), 0.0, top
+    if power > 0:
+        for _ in range(200):
+            mid = (low + high) / 2
+            if mid in (low, high):
+                break
+            if power * (log_top - math.log(math.sin(mid))) > 60:
+                low = mid
+            else:
+                high = mid
+    arc = np.pi / 2 * np.sinh(_STEPS)
+    up, down = np.exp(arc), np.exp(-arc)
+    weight = np.pi / 4 * np.cosh(_STEPS) / np.cosh(arc) ** 2
+    x = low + (top - low) * up / (up + down)
+    to_half_pi = rest + (top - low) * down / (up + down)
+    keep = x > 0
+    value = np.exp(power * (log_sine(x[keep], to_half_pi[keep]) - log_top))
+    return float((value * weight[keep]).sum() * (_STEPS[1] - _STEPS[0]) * (top - low))
 
 
 def t_two_sided(t: float, df: float) -> float:
     """P(|T| >= |t|) for Student's t with ``df`` degrees of freedom.
 
-    Up to ``LARGE_DF`` through the incomplete beta. Beyond it the continued
-    fraction needs O(sqrt(df)) steps, so the large-df transform
-    z = |t| (1 - 1/(4 df)) / sqrt(1 + t^2 / (2 df)) to a normal tail is used
-    (error O(df^-2), below 1e-10 there); Welch df reach millions at scale.
+    With t = sqrt(df) cot x the tail is the integral of sin**(df - 1) up to x
+    over the integral up to pi/2: the same quadrature for every df, and no
+    constant to lose digits in when df is large.
     """
-    if t is None or df is None or math.isnan(t) or math.isnan(df) or df <= 0:
+    if t is None or df is None or math.isnan(t):
         return float("nan")
     if math.isinf(t):
         return 0.0
-    if df > LARGE_DF:
-        z = abs(t) * (1.0 - 1.0 / (4.0 * df)) / math.sqrt(1.0 + t * t / (2.0 * df))
-        return min(1.0, 2.0 * norm_sf(z))
-    return min(1.0, betainc(df / 2.0, 0.5, df / (df + t * t)))
+    if math.isnan(df) or df <= 0:
+        return float("nan")
+    if t == 0:
+        return 1.0
+    top, rest = math.atan2(math.sqrt(df), abs(t)), math.atan2(abs(t), math.sqrt(df))
+    scale = math.exp((df - 1) * -0.5 * math.log1p(t * t / df))
+    return min(1.0, scale * _sine_power(df - 1, top, rest) / _sine_power(df - 1, math.pi / 2, 0.0))
 
 
 def norm_sf(z: float) -> float:
@@ -107,23 +98,42 @@ def mwu_exact_sf(u: float, n1: int, n2: int) -> float:
 
 @F.pandas_udf(T.DoubleType())
 def t_two_sided_udf(t: pd.Series, df: pd.Series) -> pd.Series:
-    return pd.Series([t_two_sided(a, b) if pd.notna(a) and pd.notna(b) else None
+    """Two-sided Student p; an infinite t (no variance, different means) gives 0."""
+    return pd.Series([t_two_sided(a, b) if pd.notna(a) and (pd.notna(b) or math.isinf(a)) else None
                       for a, b in zip(t, df)], dtype="float64")
 
 
-@F.pandas_udf(T.DoubleType())
-def mwu_p_udf(u: pd.Series, n1: pd.Series, n2: pd.Series, z: pd.Series,
-              has_ties: pd.Series) -> pd.Series:
-    """Two-sided Mann-Whitney p: exact when a sample has at most 8 values and
-    there are no ties (as scipy's default), else the normal approximation."""
-    out = []
-    for uu, a, b, zz, ties in zip(u, n1, n2, z, has_ties):
-        if pd.isna(uu) or pd.isna(a) or pd.isna(b) or a == 0 or b == 0:
-            out.append(None)
-        elif min(a, b) <= 8 and not ties and a * b <= 2_000_000:
-            out.append(min(1.0, 2.0 * mwu_exact_sf(uu, int(a), int(b))))
-        elif pd.isna(zz):
-            out.append(None)
-        else:
-            out.append(min(1.0, 2.0 * norm_sf(zz)))
-    return pd.Series(out, dtype="float64")
+#: Products of sample sizes up to which the exact distribution is computed (one number per value of U).
+EXACT_PAIRS = 50_000_000
+
+
+def mwu_p(u: float, n1: int, n2: int, z: float | None, has_ties: bool, method: str = "auto") -> float | None:
+    """Two-sided Mann-Whitney p of max(U1, U2).
+
+    ``auto`` is exact when a sample has at most 8 values and there are no ties, and
+    the normal approximation otherwise; ``exact`` and ``asymptotic`` force one.
+    Without any spread (all values tied) p is 1.
+    """
+    if method not in ("auto", "exact", "asymptotic"):
+        raise ValueError(f"method {method!r}: auto, exact or asymptotic")
+    if n1 == 0 or n2 == 0:
+        return None
+    if method == "exact" or (method == "auto" and min(n1, n2) <= 8 and not has_ties):
+        if has_ties:
+            raise ValueError("no exact Mann-Whitney distribution with ties; use method='asymptotic'")
+        if n1 * n2 > EXACT_PAIRS:
+            raise ValueError(f"exact Mann-Whitney p needs {n1} x {n2} values, more than {EXACT_PAIRS}; "
+                             "use method='asymptotic'")
+        return min(1.0, 2.0 * mwu_exact_sf(u, int(n1), int(n2)))
+    return 1.0 if z is None or math.isnan(z) else min(1.0, 2.0 * norm_sf(z))
+
+
+def mwu_p_udf(u, n1, n2, z, has_ties, method: str = "auto"):
+    """``mwu_p`` as a column."""
+    @F.pandas_udf(T.DoubleType())
+    def p(u: pd.Series, n1: pd.Series, n2: pd.Series, z: pd.Series, has_ties: pd.Series) -> pd.Series:
+        return pd.Series([None if pd.isna(uu) or pd.isna(a) or pd.isna(b)
+                          else mwu_p(uu, a, b, None if pd.isna(zz) else zz, bool(ties), method)
+                          for uu, a, b, zz, ties in zip(u, n1, n2, z, has_ties)], dtype="float64")
+
+    return p(u, n1, n2, z, has_ties)

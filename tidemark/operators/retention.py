@@ -43,14 +43,14 @@ def first_seen_update(first_seen: DataFrame, feed: DataFrame, day) -> DataFrame:
     """Fold one day of events into a stored (user_id, start_day) table.
 
     Lets a daily job keep first days without rescanning the whole history:
-    only ``day``'s events are read, and users already known keep their day.
+    only ``day``'s events are read. A user's first day is the least seen, so
+    a day that is folded in late (or again) still gives the right table.
     """
     d = as_date(day)
     today = (feed.where(time_between(feed, d, d + dt.timedelta(days=1)))
-             .select("user_id").distinct()
-             .withColumn("start_day", F.lit(d.isoformat()).cast("date")))
-    fresh = today.join(first_seen.select("user_id"), "user_id", "left_anti")
-    return first_seen.select("user_id", "start_day").unionByName(fresh)
+             .select("user_id", F.lit(d.isoformat()).cast("date").alias("start_day")))
+    return (first_seen.select("user_id", "start_day").unionByName(today)
+            .groupBy("user_id").agg(F.min("start_day").alias("start_day")))
 
 
 def _cohort_counts(feed: DataFrame, as_of, cohorts: int, from_days: bool = False,

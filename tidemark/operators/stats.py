@@ -47,7 +47,10 @@ def welch_stats(df: DataFrame, group_col: str, value_col: str, first, second) ->
     s2 = F.col("var2") / F.col("n2")
     return a.select(
         "n1", "n2", "mean1", "mean2", "var1", "var2",
-        F.try_divide(F.col("mean1") - F.col("mean2"), F.sqrt(s1 + s2)).alias("t"),
+        # no variance in either arm: infinitely far apart, or (equal means) no answer
+        F.when((s1 + s2 == 0) & (F.col("mean1") != F.col("mean2")),
+               F.when(F.col("mean1") > F.col("mean2"), F.lit(float("inf"))).otherwise(F.lit(float("-inf"))))
+        .otherwise(F.try_divide(F.col("mean1") - F.col("mean2"), F.sqrt(s1 + s2))).alias("t"),
         F.try_divide((s1 + s2) * (s1 + s2),
                      s1 * s1 / (F.col("n1") - 1) + s2 * s2 / (F.col("n2") - 1)).alias("df"))
 
@@ -95,15 +98,16 @@ def mwu_stats(df: DataFrame, group_col: str, value_col: str, first, second,
 
 
 def mann_whitney(df: DataFrame, group_col: str, value_col: str, first, second,
-                 alpha: float = ALPHA, bins: int = 256) -> DataFrame:
+                 alpha: float = ALPHA, bins: int = 256, method: str = "auto") -> DataFrame:
     """Two-sided Mann-Whitney U: the stats row plus p_value, significant.
 
-    ``p_value`` is exact when one sample has at most 8 values and there are no
-    ties, otherwise from the normal approximation (as scipy's default).
+    ``method='auto'``: exact when one sample has at most 8 values and there
+    are no ties, otherwise the normal approximation (as scipy's default);
+    'exact' or 'asymptotic' force one. All values tied: p is 1.
     """
     st = mwu_stats(df, group_col, value_col, first, second, bins)
     p = mwu_p_udf(F.greatest("u1", "u2"), F.col("n1"), F.col("n2"), F.col("z"),
-                  F.col("tie_term") > 0)
+                  F.col("tie_term") > 0, method)
     return st.withColumn("p_value", p).withColumn("significant", verdict("p_value", alpha))
 
 

@@ -42,11 +42,12 @@ def percent2(col: str | Column) -> Column:
 def report_message(feed_m: DataFrame, msg_m: DataFrame) -> DataFrame:
     """One row: day and the caption text built from the two one-day metric rows.
 
-    Both inputs hold at most one row (one day), so the join is on ``day``.
+    Both inputs hold at most one row (one day). A service without events that
+    day counts 0; there is no row only if both are silent.
     """
     f = feed_m.select(F.col("day"), F.col("dau").alias("f_dau"), "views", "likes", "ctr")
     m = msg_m.select(F.col("day"), F.col("dau").alias("m_dau"), "msgs_sent")
-    j = f.join(m, "day")
+    j = f.join(m, "day", "full").fillna(0, ["f_dau", "m_dau", "views", "likes", "msgs_sent"])
     when = F.date_format("day", CAPTION_DATE_FORMAT)
     text = F.concat(
         F.lit(CAPTION_TITLE + "\n"),
@@ -67,19 +68,21 @@ ROLLUPS = ("feed_days", "msg_days", "post_days")
 def append_rollups(feed: DataFrame, messages: DataFrame, start, end, store: str) -> None:
     """Write the rollups of days ``[start, end)`` into ``store`` (one folder per rollup).
 
-    Only that range of events is read (pushed-down time bounds), and dynamic
-    partition overwrite replaces just those day partitions, so a daily job
+    Each day reads only its own events (pushed-down time bounds) and replaces
+    its own partition folder, also when nothing is left of it, so a daily job
     appends yesterday and a re-run or late data rewrites the same days.
     """
-    s, e = as_date(start), as_date(end)
-    f = feed.where(time_between(feed, s, e))
-    m = messages.where(time_between(messages, s, e))
-    parts = {"feed_days": activity.user_days(f, by_source=True),
-             "msg_days": activity.user_days(m, by_source=False),
-             "post_days": activity.post_days(f)}
-    for name, df in parts.items():
-        (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("day").parquet(f"{store.rstrip('/')}/{name}"))
+    day, e = as_date(start), as_date(end)
+    while day < e:
+        until = day + dt.timedelta(days=1)
+        f = feed.where(time_between(feed, day, until))
+        m = messages.where(time_between(messages, day, until))
+        parts = {"feed_days": activity.user_days(f, by_source=True),
+                 "msg_days": activity.user_days(m, by_source=False),
+                 "post_days": activity.post_days(f)}
+        for name, df in parts.items():
+            df.drop("day").write.mode("overwrite").parquet(f"{store.rstrip('/')}/{name}/day={day.isoformat()}")
+        day = until
 
 
 def read_rollups(spark, store: str) -> dict[str, DataFrame]:
@@ -142,20 +145,13 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
 def write_report(tables: dict[str, DataFrame], path: str, as_of, fmt: str = "parquet") -> None:
     """Write each table under ``<path>/<name>/as_of=<day>``.
 
-    Dynamic partition overwrite replaces only the run day's partition, so a
-    re-run or back-fill of one day is idempotent and readers of one day get
-    partition pruning. A table with no rows for the day writes no partition
-    (until some day has rows its folder holds no data files, so readers
-    should pass the table's schema).
+    The run day's partition folder is replaced as a whole, also by a table
+    without rows, so a re-run or back-fill of one day is idempotent and
+    readers of one day get partition pruning.
     """
     day = as_date(as_of).isoformat()
     for name, df in tables.items():
-        (df.withColumn("as_of", F.lit(day).cast("date"))
-         .write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("as_of")
-         .format(fmt)
-         .save(f"{path.rstrip('/')}/{name}"))
+        df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/{name}/as_of={day}")
 
 
 def backfill(feed: DataFrame, messages: DataFrame, start, end, path: str,

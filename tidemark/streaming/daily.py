@@ -25,15 +25,12 @@ from ..sources.tables import FEED_SCHEMA
 
 
 def refresh_days(feed: DataFrame, batch: DataFrame, sink_path: str, fmt: str = "parquet") -> None:
-    """Recompute and overwrite the metric partitions of the days in ``batch``."""
-    span = batch.agg(F.min(F.to_date("time")).alias("lo"),
-                     F.max(F.to_date("time")).alias("hi")).first()
-    if span is None or span["lo"] is None:
-        return
-    metrics = feed_metrics_range(feed, span["lo"], span["hi"] + dt.timedelta(days=1))
-    (metrics.write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day").format(fmt).save(sink_path))
+    """Recompute and replace the metric partitions of the distinct days in ``batch``."""
+    days = batch.select(F.to_date("time").alias("day")).where("day is not null").distinct().collect()
+    for day in sorted(r["day"] for r in days):  # calendar days: one row each
+        metrics = feed_metrics_range(feed, day, day + dt.timedelta(days=1))
+        metrics.drop("day").write.mode("overwrite").format(fmt).save(
+            f"{sink_path.rstrip('/')}/day={day.isoformat()}")
 
 
 def start_feed_metrics_stream(spark: SparkSession, source_path: str, sink_path: str,
