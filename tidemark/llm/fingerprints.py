@@ -6,8 +6,8 @@ bits) and its value. Sorting a document's shingle hashes leaves the least value
 filled bin at the bin's first place. An empty bin borrows from the first
 filled bin of its own seeded probe sequence, as in optimal densification: the
 sequence depends on the bin and the attempt, not on the set, so equal sets of
-filled bins borrow alike. The low ``bits`` bits of every bin are stored as
-hex. Likeness is the share of equal bins, corrected for the chance that
+filled bins borrow alike. The low ``BITS`` bits of every bin (hashed with
+its number) are stored as hex. Likeness is the share of equal bins, corrected for the chance that
 different values agree in their low bits.
 
 Defined cases: null text counts as empty; a text without words has the
@@ -83,7 +83,7 @@ def with_bins(df: DataFrame, text: str, name: str, k: int = SHINGLE) -> DataFram
     values = F.col(s)
     first = F.filter(values, lambda x, i: (i == 0) | (_bin(x) != _bin(F.get(values, i - 1))))
     out = out.withColumn(v, F.when(F.col(h).isNotNull(), F.transform(first, lambda x: F.when(
-        x.bitwiseAND(_long(mark)) != _long(mark), x.bitwiseAND(_long((1 << BITS) - 1)).cast("int")))))
+        x.bitwiseAND(_long(mark)) != _long(mark), x))))
     held = F.col(v)
 
     def first_filled(probes: Column) -> Column:
@@ -97,8 +97,9 @@ def with_bins(df: DataFrame, text: str, name: str, k: int = SHINGLE) -> DataFram
             done += count
         return F.coalesce(*tries, F.get(F.filter(held, lambda x: x.isNotNull()), F.lit(0)))
 
+    # each bin hashes its value once more, so that bins with one borrowed value don't all agree by one chance
     out = out.withColumn(name, F.when(held.isNotNull(), F.transform(
-        held, lambda x, b: F.coalesce(x, borrowed(b)))))
+        held, lambda x, b: F.xxhash64(F.coalesce(x, borrowed(b)), b).bitwiseAND(_long((1 << BITS) - 1)).cast("int"))))
     return out.drop(h, s, v)
 
 

@@ -39,7 +39,7 @@ PLACED = "doc_id long, piece int, start long, length long, ids_crc32 long, seque
 # ------------------------------------------------------------------ tokenization
 
 #: Code points below this take the array path, texts with others the tokenizer itself.
-LATIN = 0x250
+LATIN = 0x180
 #: Words whose ids a worker keeps.
 CACHE_WORDS = 400_000
 _SPACES = [*range(0x09, 0x0E), 0x20, 0x85, 0xA0]
