@@ -132,7 +132,7 @@ class Kernel:
     """Normalized kernel values of words against fixed landmarks, zero outside the support.
 
     A pair has value 0 by definition if the word lacks over a quarter of the
-    landmark's different letters or over half of its neighbouring letter pairs (at most
+    landmark's different letters or over two fifths of its neighbouring letter pairs (at most
     two letters between them in the word), if the lengths differ beyond a
     factor of 2.5, or if the value is below ``support``. The rest, few pairs, is computed in
     batches of equal length.
@@ -149,6 +149,8 @@ class Kernel:
         self.pairs = _pair_bits(self.codes, 1)
         self.pair_count = np.bitwise_count(self.pairs).astype(np.int64)
         self.own = self._self(self.codes, self.size)
+        distinct = np.tril(np.ones((settings.word + 1, settings.word), np.int64), -1) * np.arange(1, settings.word + 1)
+        self.floor = self._self(distinct, np.arange(settings.word + 1))
 
     def _self(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(codes), np.float32)
@@ -166,8 +168,8 @@ class Kernel:
         for j in range(len(self.words)):
             near = 4 * np.bitwise_count(bits & self.bits[j]).astype(np.int64) >= 3 * self.count[j]
             for side in (0, 1):
-                near &= (2 * np.bitwise_count(pairs[:, side] & self.pairs[j, side]).astype(np.int64)
-                         >= self.pair_count[j, side])
+                near &= (5 * np.bitwise_count(pairs[:, side] & self.pairs[j, side]).astype(np.int64)
+                         >= 3 * self.pair_count[j, side])
             near &= (2 * sizes <= 5 * self.size[j]) & (2 * self.size[j] <= 5 * sizes)
             at = np.flatnonzero(near)
             w.append(at)
@@ -175,9 +177,6 @@ class Kernel:
         w, k = np.concatenate(w), np.concatenate(k)
         order = np.argsort(w, kind="stable")
         w, k = w[order], k[order]
-        own = np.zeros(len(words), np.float32)
-        some = np.unique(w)
-        own[some] = self._self(codes[some], sizes[some])
         value = np.zeros(len(w), np.float32)
         shape = sizes[w] * 64 + self.size[k]
         for both in np.unique(shape).tolist():
@@ -186,7 +185,14 @@ class Kernel:
             for lo in range(0, len(at), 4096):
                 part = at[lo:lo + 4096]
                 value[part] = subsequence_kernel(codes[w[part], :n], self.codes[k[part], :m], self.s.p, self.s.decay)
-        value /= np.sqrt(np.maximum(own[w] * self.own[k], 1e-12))
+        # a word's own kernel is at least that of as many different letters: most pairs end here
+        value /= np.sqrt(np.maximum(self.own[k], 1e-12))
+        able = value >= 0.999 * self.s.support * np.sqrt(self.floor[sizes[w]])
+        w, k, value = w[able], k[able], value[able]
+        own = np.zeros(len(words), np.float32)
+        some = np.unique(w)
+        own[some] = self._self(codes[some], sizes[some])
+        value /= np.sqrt(np.maximum(own[w], 1e-12))
         keep = value >= self.s.support
         return w[keep], k[keep], value[keep]
 
