@@ -77,13 +77,12 @@ def _cohort_counts(feed: DataFrame, as_of, cohorts: int, from_days: bool = False
                       F.bit_or(F.when(F.col("day") >= lo_lit, day_bit)).alias("mask"))
                  .where(in_window))
     else:
-        # stored first days: only the cohort window of activity is read, and
-        # only users whose first day falls in it are joined to it
+        # stored first days: only the cohort window of activity is read, and it is
+        # one mask per user before the join, so a hot user is one row there
         cohort = first_seen.select("user_id", "start_day").where(in_window)
-        recent = src.where(F.col("day") >= lo_lit).select("user_id", "day")
-        users = (cohort.join(recent, "user_id")
-                 .groupBy("user_id", "start_day")
-                 .agg(F.bit_or(day_bit).alias("mask")))
+        recent = (src.where(F.col("day") >= lo_lit)
+                  .groupBy("user_id").agg(F.bit_or(day_bit).alias("mask")))
+        users = cohort.join(recent, "user_id")
 
     # users per (start_day, activity pattern): at most cohorts * 2^(cohorts+1) keys
     patterns = users.groupBy("start_day", "mask").agg(F.count(F.lit(1)).alias("users"))
