@@ -30,9 +30,13 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     return _only(docs, quality.quality(docs).where("kept").select(F.col("doc_id").alias("_kept")))
 
 
+#: Near duplicates of the pipeline: five words, similarity 0.8 or more.
+NEAR = jaccard_join.Join(k=5, percent=80)
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near duplicates the smallest doc_id stays."""
-    return _only(docs, jaccard_join.jaccard_components(docs).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
+    return _only(docs, jaccard_join.jaccard_components(docs, NEAR).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
                  .select(F.col("doc_id").alias("_kept")))
 
 

@@ -188,3 +188,18 @@ def test_pipeline_stages(spark):
     kept = docs.select("doc_id").distinct().count()
     packed = c.STAGES[-1][1](spark, docs, folder)
     assert packed.select("doc_id").distinct().count() == kept
+
+
+def test_near_duplicates_of_the_pipeline_link_at_five_words_and_four_fifths(spark):
+    import corpus_pipeline as c
+    words = [f"w{i}" for i in range(1000)]
+    just, below = list(words), list(words)
+    for i in range(22):
+        just[20 + 40 * i] = f"x{i}"
+    for i in range(23):
+        below[20 + 40 * i] = f"y{i}"
+    near = [len(shingles(" ".join(words), 5) & s) / len(shingles(" ".join(words), 5) | s)
+            for s in (shingles(" ".join(just), 5), shingles(" ".join(below), 5))]
+    assert near[0] >= 0.8 > near[1]
+    df = spark.createDataFrame([(1, " ".join(words)), (2, " ".join(just)), (3, " ".join(below))], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in c.near_duplicates(spark, df, "").collect()) == [1, 3]
