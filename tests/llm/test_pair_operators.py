@@ -190,6 +190,18 @@ def test_pipeline_stages(spark):
     assert packed.select("doc_id").distinct().count() == kept
 
 
+def test_shingle_sets_of_texts_shorter_than_a_shingle():
+    for k in (4, 5):
+        for texts in (["a b"], ["a"], [""], ["", "a b", ""], ["a b c"], ["a b", "b a"], ["a b c d e f", "a b"]):
+            sets = jaccard_join.shingle_sets([t.encode() for t in texts], k)
+            assert [len(s) for s in sets] == [len(shingles(t, k)) for t in texts]
+
+
+def test_jaccard_components_of_one_short_text(spark):
+    df = spark.createDataFrame([(1, "a b")], "doc_id long, text string")
+    assert [tuple(r) for r in jaccard_join.jaccard_components(df).collect()] == [(1, 1, 1, 0)]
+
+
 def test_near_duplicates_of_the_pipeline_link_at_five_words_and_four_fifths(spark):
     import corpus_pipeline as c
     words = [f"w{i}" for i in range(1000)]

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import batches_of_bytes, joined, mix, small_batches, text_column, utf8, width, words
+from tidemark.llm._common import batches_of_bytes, joined, mix, small_batches, text_column, utf8, width, window_hashes, words
 from tidemark.llm.components import components
 from tidemark.session import materialize
 
@@ -69,10 +69,7 @@ def shingle_sets(texts: list[bytes], k: int) -> list[np.ndarray]:
     starts, _, h = words(buf, lower=True)
     ends = np.searchsorted(starts, offsets[1:])
     begin = np.concatenate(([0], ends[:-1]))
-    roll = h.copy()
-    for i in range(1, k):
-        roll[:len(h) - i] = roll[:len(h) - i] * np.uint64(0xD6E8FEB86659FD93) + h[i:]
-    roll = mix(roll)
+    roll = window_hashes(h, k)
     out = []
     for a, b in zip(begin.tolist(), ends.tolist(), strict=True):
         if b - a >= k:
