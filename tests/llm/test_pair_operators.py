@@ -202,6 +202,27 @@ def test_jaccard_components_of_one_short_text(spark):
     assert [tuple(r) for r in jaccard_join.jaccard_components(df).collect()] == [(1, 1, 1, 0)]
 
 
+@pytest.mark.parametrize("heavy,block", [(2, 8), (64, 1024)])
+def test_links_of_every_document_are_counted(spark, heavy, block):
+    random.seed(12)
+    base = [f"w{i}" for i in range(120)]
+    rows = [(i, " ".join([*base, f"e{i}"])) for i in range(50)]  # all link with each other
+    chain, w = [f"c{i}" for i in range(120)], []
+    for i in range(30):  # near neighbours link, distant ones don't
+        w = [f"d{i}" if j == 4 * i else x for j, x in enumerate(w or chain)]
+        rows.append((100 + i, " ".join(w)))
+    rows += [(200, rows[0][1]), (201, "p q r s t"), (202, "p q r s u")]
+    sets = {d: frozenset(shingles(t, 4)) for d, t in rows}
+
+    def linked(x, y):
+        return x != y and 100 * len(x & y) >= 85 * len(x | y)
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    out = jaccard_join.jaccard_components(df, jaccard_join.Join(heavy=heavy, block=block)).collect()
+    want = {d: sum(linked(s, t) for t in set(sets.values())) for d, s in sets.items()}
+    assert want[0] == 49 and 0 < want[115] < 29
+    assert {r["doc_id"]: r["n_links"] for r in out} == want
+
+
 def test_near_duplicates_of_the_pipeline_link_at_five_words_and_four_fifths(spark):
     import corpus_pipeline as c
     words = [f"w{i}" for i in range(1000)]

@@ -17,8 +17,10 @@ Equal sets are one class from the start. A token that few classes share makes
 all its pairs; for one that many share, the classes are first linked to a
 pivot (the class most central in its groups) and verified, and only pairs of
 classes that are then still in different components are made, in blocks, so
-large groups of near copies never become all pairs, and no link between
-components is lost. A parity bitmap of each set bounds the symmetric
+large groups of near copies never become all pairs of rows, and no link between
+components is lost. All links lie within components, so the links of a
+document are counted there at the end: the classes of a component meet in
+blocks, and a task returns one count per class. A parity bitmap of each set bounds the symmetric
 difference of a pair from below; a pair beyond the bound cannot link and is
 dropped before any set is looked at.
 
@@ -467,12 +469,69 @@ def _block_pairs(group: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
     return rows.groupBy("token", "lo", "hi").applyInArrow(run, "a long, b long").distinct()
 
 
+def _degrees(links: DataFrame, label: DataFrame, classes: DataFrame, docs: DataFrame, join: Join) -> DataFrame:
+    """(class, n_links): the links of every linked class to other classes, all of them.
+
+    Where the verified links are already all pairs of a component, they are
+    counted; in any other, every two classes are compared. Such a component is cut into
+    blocks by hash, every two blocks meet in a task of their own, and only sums per class leave it.
+    """
+    ends = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(
+        F.count(F.lit(1)).alias("n_links"))
+    found = materialize(label.join(ends, F.col("node") == F.col("class")).select("class", "component", "n_links"))
+    sizes = (found.groupBy(F.col("component").alias("_component"))
+             .agg(F.count(F.lit(1)).alias("size"), F.sum("n_links").alias("seen"))
+             .withColumn("part", F.col("seen") < F.col("size") * (F.col("size") - 1)))
+    found = materialize(found.join(sizes, F.col("component") == F.col("_component"))
+                        .select("class", "component", "n_links", "size", "part"))
+    known = found.where("not part").select("class", "n_links")
+    part = found.where("part").select(F.col("class").alias("_class"), "component", F.ceil(
+        F.col("size") / F.greatest(F.lit(join.block), F.sqrt(8 * F.col("size")))).cast("int").alias("blocks"))
+    if part.isEmpty():
+        return known
+    sets = _candidate_sets(docs, part.join(classes, F.col("_class") == F.col("class")).select("class", "doc_id"), join.k)
+    meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(
+        F.least(i, F.col("own")).alias("lo"), F.greatest(i, F.col("own")).alias("hi")))
+    rows = (sets.join(part, F.col("class") == F.col("_class"))
+            .withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
+            .select("component", "class", "tokens", "own", F.explode(meets).alias("meet"))
+            .select("component", "meet.lo", "meet.hi", "own", "class", "tokens"))
+
+    def run(table: pa.Table) -> pa.Table:
+        own, cls = table.column("own").to_numpy(), table.column("class").to_numpy()
+        lo, hi = table.column("lo")[0].as_py(), table.column("hi")[0].as_py()
+        order = np.argsort(own, kind="stable")  # the rows of lo, then those of hi
+        raw = table.column("tokens").to_pylist()
+        sets = [np.frombuffer(raw[i], np.uint64) for i in order.tolist()]
+        n = np.array([len(x) for x in sets])
+        start = np.cumsum(n) - n
+        _, flat = np.unique(np.concatenate(sets), return_inverse=True)
+        here = np.zeros(flat.max() + 1, np.int32)
+        first = int((own == lo).sum())
+        count = np.zeros(len(sets), np.int64)
+        for i in range(first):
+            begin = i + 1 if lo == hi else first  # each pair once
+            if begin == len(sets):
+                break
+            tokens = flat[start[i]:start[i] + n[i]]
+            here[tokens] = 1
+            both = np.add.reduceat(here[flat[start[begin]:]], start[begin:] - start[begin])
+            here[tokens] = 0
+            linked = 100 * both.astype(np.int64) >= join.percent * (n[i] + n[begin:] - both)
+            count[begin:] += linked
+            count[i] += linked.sum()
+        return pa.table({"class": cls[order], "n_links": count})
+
+    counted = (rows.groupBy("component", "lo", "hi").applyInArrow(run, "class long, n_links long")
+               .groupBy("class").agg(F.sum("n_links").alias("n_links")))
+    return known.unionByName(counted)
+
+
 def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
     """doc_id, n_shingles, component_id, n_links of every document.
 
-    ``n_links`` counts the verified links of the document's class to other
-    classes; pairs already known to be connected are not all verified, so
-    in a large group it is a part of all links.
+    ``n_links`` counts the links of the document's set to other sets (classes),
+    however many documents have one of these; equal sets add none.
     """
     spark = docs.sparkSession
     small_batches(spark, 500)
@@ -517,8 +576,7 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
         "doc_id", "n", "class", F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("group"))
     least = (labelled.where("n > 0 and doc_id is not null").groupBy(F.col("group").alias("_group"))
              .agg(F.min("doc_id").alias("component_id")))
-    ends = (links.select(F.explode(F.array("a", "b")).alias("_end")).groupBy("_end")
-            .agg(F.count(F.lit(1)).alias("n_links")))
+    ends = _degrees(links, label, classes, docs, join).select(F.col("class").alias("_end"), "n_links")
     return (labelled.join(least, F.col("group") == F.col("_group"), "left")
             .join(ends, F.col("class") == F.col("_end"), "left")
             .groupBy("doc_id").agg(F.max("n").alias("n_shingles"),
