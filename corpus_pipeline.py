@@ -5,7 +5,8 @@ works on all of it. All but the last return the columns of ``documents``.
 ``run`` writes each stage's rows as Parquet below the shared checkpoint
 folder and hands on what it reads back.
 
-Rows that share a doc_id share its fate in the filtering stages; a null doc_id counts as one id.
+In the quality stage rows that share a doc_id share its fate, and a null doc_id counts as one
+id; near duplicates are decided row by row.
 """
 
 from __future__ import annotations
@@ -35,9 +36,8 @@ NEAR = jaccard_join.Join(k=5, percent=80)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near duplicates the smallest doc_id stays."""
-    return _only(docs, jaccard_join.jaccard_components(docs, NEAR).where(F.col("doc_id").eqNullSafe(F.col("component_id")))
-                 .select(F.col("doc_id").alias("_kept")))
+    """Of each group of near duplicates one row stays, that of the smallest doc_id (nulls last)."""
+    return jaccard_join.one_per_component(docs, NEAR)
 
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -223,6 +223,24 @@ def test_links_of_every_document_are_counted(spark, heavy, block):
     assert {r["doc_id"]: r["n_links"] for r in out} == want
 
 
+def test_null_and_repeated_ids_are_decided_by_text(spark):
+    import corpus_pipeline as c
+    word = [[f"{x}{i}" for i in range(60)] for x in "abcdef"]
+    text = [" ".join(w) for w in word]
+    near = " ".join(["z", *word[0]])
+    rows = [(None, near, "s"), (7, text[0], "s"), (None, text[1], "s"), (None, text[2], "s"), (None, text[2], "s"),
+            (None, text[2], "t"), (9, text[3], "s"), (9, text[3], "s"), (9, text[4], "s"), (3, text[5], "s"),
+            (None, text[5], "s"), (None, "", "s"), (None, None, "s"), (None, "", "s")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    kept = [tuple(r) for r in c.near_duplicates(spark, df, "").select("doc_id", "text").collect()]
+    none = [(None, text[1]), (None, text[2]), (None, ""), (None, ""), (None, None)]
+    assert sorted(kept, key=repr) == sorted(
+        [(7, text[0]), (9, text[3]), (9, text[4]), (3, text[5]), *none], key=repr)
+    out = [tuple(r)[:1] + tuple(r)[2:] for r in jaccard_join.jaccard_components(df).collect()]
+    assert sorted(out, key=repr) == sorted(
+        [(None, 7, 1), (7, 7, 1), *[(None, None, 0)] * 7, *[(9, 9, 0)] * 3, (3, 3, 0), (None, 3, 0)], key=repr)
+
+
 def test_near_duplicates_of_the_pipeline_link_at_five_words_and_four_fifths(spark):
     import corpus_pipeline as c
     words = [f"w{i}" for i in range(1000)]

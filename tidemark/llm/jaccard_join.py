@@ -25,8 +25,9 @@ difference of a pair from below; a pair beyond the bound cannot link and is
 dropped before any set is looked at.
 
 Defined cases: null and empty texts have no shingle and link with nothing;
-fewer than k words are one shingle; repeated rows link (equal sets) but a
-doc_id has one row in the result; an empty table gives no rows.
+fewer than k words are one shingle; repeated rows link (equal sets), and every
+row has its own in the result, whatever its doc_id; a component without any
+doc_id has a null component_id; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -37,10 +38,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import batches_of_bytes, joined, mix, small_batches, text_column, utf8, width, window_hashes, words
+from tidemark.llm._common import (WORD, batches_of_bytes, joined, mix, small_batches, text_column, utf8, width,
+                                  window_hashes, words)
 from tidemark.llm.components import components
 from tidemark.session import materialize
 
@@ -119,10 +121,10 @@ def may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent
             & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
 
 
-def _profile(docs: DataFrame, k: int) -> DataFrame:
-    """One pass: (doc_id, class, n, parity) of every document, and sketch slices per task."""
-    names = ["doc_id", "class", "n", "parity", "slice", "counts"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+def _profile(docs: DataFrame, k: int, key: Column) -> DataFrame:
+    """One pass: (doc_id, class, n, parity, key) of every row, and sketch slices per task."""
+    names = ["doc_id", "class", "n", "parity", "key", "slice", "counts"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << SKETCH_BITS, np.uint64)
@@ -139,16 +141,16 @@ def _profile(docs: DataFrame, k: int) -> DataFrame:
             digests, sizes, bits = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, types[1]), pa.array(sizes, types[2]), pa.array(bits, types[3]),
-                 pa.nulls(batch.num_rows, types[4]), pa.nulls(batch.num_rows, types[5])], names=names)
+                 batch.column(2), pa.nulls(batch.num_rows, types[5]), pa.nulls(batch.num_rows, types[6])], names=names)
         parts = cells.reshape(-1, 1 << SLICE_BITS)
         some = np.flatnonzero(parts.any(1))
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(some), t) for t in types[:4]] + [
-                pa.array(some, types[4]), pa.array([zlib.compress(parts[s].tobytes(), 1) for s in some], types[5])],
+            [pa.nulls(len(some), t) for t in types[:5]] + [
+                pa.array(some, types[5]), pa.array([zlib.compress(parts[s].tobytes(), 1) for s in some], types[6])],
             names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), text_column().alias("text")).mapInArrow(
-        run, "doc_id long, class long, n long, parity binary, slice int, counts binary")
+    return docs.select(F.col("doc_id").cast("long"), text_column().alias("text"), key.alias("key")).mapInArrow(
+        run, "doc_id long, class long, n long, parity binary, key long, slice int, counts binary")
 
 
 def _sketch(profile: DataFrame) -> np.ndarray:
@@ -527,16 +529,16 @@ def _degrees(links: DataFrame, label: DataFrame, classes: DataFrame, docs: DataF
     return known.unionByName(counted)
 
 
-def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
-    """doc_id, n_shingles, component_id, n_links of every document.
+def _linked(docs: DataFrame, join: Join, key: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(doc_id, class, n, key, group) of every row, verified links that connect every component,
+    component of every linked class, and the classes that may link.
 
-    ``n_links`` counts the links of the document's set to other sets (classes),
-    however many documents have one of these; equal sets add none.
+    ``group`` is the row's component, null without shingles; ``key`` is a column of ``docs`` to carry along.
     """
     spark = docs.sparkSession
     small_batches(spark, 500)
-    profile = materialize(_profile(docs, join.k))
-    table = profile.where("slice is null").select("doc_id", "class", "n", "parity")
+    profile = materialize(_profile(docs, join.k, F.lit(0).cast("long") if key is None else key))
+    table = profile.where("slice is null").select("doc_id", "class", "n", "parity", "key")
     frequency = _sketch(profile)
     buckets = join.buckets or 2 * width(spark)
     lone = _lone_tokens(docs, join, max(1, buckets // 2)).select(F.col("class").alias("_class"), "lone")
@@ -572,13 +574,41 @@ def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
         links = links.unionByName(materialize(_links(pairs, docs, classes, frequency, join)))
         label = components(links)
 
-    labelled = table.join(label, F.col("class") == F.col("node"), "left").select(
-        "doc_id", "n", "class", F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("group"))
-    least = (labelled.where("n > 0 and doc_id is not null").groupBy(F.col("group").alias("_group"))
+    rows = table.join(label, F.col("class") == F.col("node"), "left").select(
+        "doc_id", "class", "n", "key", F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("group"))
+    return rows, links, label, classes
+
+
+def jaccard_components(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """doc_id, n_shingles, component_id, n_links of every row.
+
+    ``n_links`` counts the links of the document's set to other sets (classes),
+    however many documents have one of these; equal sets add none.
+    """
+    rows, links, label, classes = _linked(docs, join)
+    least = (rows.where("n > 0 and doc_id is not null").groupBy(F.col("group").alias("_group"))
              .agg(F.min("doc_id").alias("component_id")))
     ends = _degrees(links, label, classes, docs, join).select(F.col("class").alias("_end"), "n_links")
-    return (labelled.join(least, F.col("group") == F.col("_group"), "left")
+    return (rows.join(least, F.col("group") == F.col("_group"), "left")
             .join(ends, F.col("class") == F.col("_end"), "left")
-            .groupBy("doc_id").agg(F.max("n").alias("n_shingles"),
-                                   F.min(F.coalesce("component_id", "doc_id")).alias("component_id"),
-                                   F.max(F.coalesce("n_links", F.lit(0))).alias("n_links")))
+            .select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc_id").alias("component_id"),
+                    F.coalesce("n_links", F.lit(0)).alias("n_links")))
+
+
+def one_per_component(docs: DataFrame, join: Join = Join()) -> DataFrame:
+    """One row of every component, all of its columns, and all rows without shingles.
+
+    The row with the least doc_id stays (nulls last), then the one with the least set digest, then
+    the least hash of the row; of rows equal in all columns one stays.
+    """
+    key = F.xxhash64(*docs.columns)
+    rows = _linked(docs, join, key)[0]
+    stay = (rows.where("n > 0").groupBy("group")
+            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class", "key")).alias("least"))
+            .select(F.col("least.key").alias("_stay")))
+    has_words = text_column().rlike(WORD)
+    # equal rows meet before the shuffle, and the join keeps its layout: texts travel once
+    row = (docs.where(has_words).select(key.alias("_key"), F.struct(*docs.columns).alias("_row"))
+           .groupBy("_key").agg(F.first("_row").alias("_row")))
+    return (row.join(stay, F.col("_key") == F.col("_stay"), "left_semi").select("_row.*")
+            .unionByName(docs.where(~has_words)))
