@@ -147,6 +147,24 @@ def test_string_kernel_against_enumeration():
         assert toxicity.subsequence_kernel(x, y, 3, 0.6)[0] == pytest.approx(brute(s, t, 3, 0.6), rel=1e-5)
 
 
+def test_kernel_rows_lose_no_value_above_the_support():
+    marks, own = ["idiot", "loser", "moron", "blockhead"], toxicity.Settings()
+    words = ["iiot", "lser", "losr", "idit", "idiott", "mor0n", "moxron", "idixxot", "clown", "blockxhead", "io", "", "idiöt"]
+
+    def value(s, t):
+        x, y = (toxicity._codes([w], 24)[:, :max(1, (toxicity._codes([w], 24) > 0).sum())] for w in (s, t))
+        k = [float(toxicity.subsequence_kernel(a, b, own.p, own.decay)[0]) for a, b in ((x, y), (x, x), (y, y))]
+        return k[0] / np.sqrt(max(k[1] * k[2], 1e-12))
+    for support in (own.support, 0.05):
+        got = {(words[i], marks[k]): float(v) for i, k, v in zip(
+            *toxicity.Kernel(marks, toxicity.Settings(support=support)).rows(words), strict=True)}
+        want = {(s, t): value(s, t) for s in words for t in marks}
+        assert got == pytest.approx({st: v for st, v in want.items() if v >= support}, rel=1e-4)
+    assert {("iiot", "idiot"), ("lser", "loser"), ("losr", "loser"), ("idit", "idiot")} <= {
+        st for st, v in want.items() if v >= own.support}
+    assert len(toxicity.Kernel(["abc"], own).rows(["xyz", ""])[2]) == 0
+
+
 def test_toxicity_finds_held_out_and_altered_insults(spark):
     random.seed(4)
     plain = ["ther", "ing", "onand", "haen", "stat", "wher", "ble", "tion", "anre", "esou"]

@@ -24,6 +24,8 @@ import re
 import unicodedata
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from functools import lru_cache
+from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
@@ -38,7 +40,7 @@ from tidemark.session import materialize
 class Settings:
     p: int = 3                  # letters of a subsequence
     decay: float = 0.6          # factor of every letter spanned
-    support: float = 0.45       # smaller kernel values count as 0
+    support: float = 0.35       # smaller kernel values count as 0
     landmarks: int = 48
     alike: float = 0.8          # kernel value from which a word is no landmark beside a better one
     min_docs: int = 4           # toxic documents a landmark word must be in
@@ -110,47 +112,52 @@ def subsequence_kernel(x: np.ndarray, y: np.ndarray, p: int, decay: float) -> np
     return out
 
 
-def _letter_bits(codes: np.ndarray) -> np.ndarray:
-    bits = np.where(codes > 0, np.uint64(1) << (codes % 61).astype(np.uint64), np.uint64(0))
-    return np.bitwise_or.reduce(bits, axis=1)
-
-
-def _pair_bits(codes: np.ndarray, gaps: int) -> np.ndarray:
-    """Two bitmaps (hashes) of the ordered letter pairs that stand at most ``gaps`` apart."""
-    out = np.zeros((len(codes), 2), np.uint64)
-    for gap in range(1, gaps + 1):
-        one, two = codes[:, :-gap], codes[:, gap:]
-        pair = one * 8191 + two
-        for k, factor in enumerate((0x9E3779B1, 0x85EBCA6B)):
-            place = (pair * factor >> 15) & 63
-            bits = np.where(two > 0, np.uint64(1) << place.astype(np.uint64), np.uint64(0))
-            out[:, k] |= np.bitwise_or.reduce(bits, axis=1)
-    return out
+@lru_cache(maxsize=64)
+def _places(n: int, p: int) -> np.ndarray:
+    """All choices of ``p`` ascending places out of ``n``, one per row."""
+    return np.array(list(combinations(range(n), p)), np.int64).reshape(-1, p)
 
 
 class Kernel:
     """Normalized kernel values of words against fixed landmarks, zero outside the support.
 
-    A pair has value 0 by definition if the word lacks over a quarter of the
-    landmark's different letters or over two fifths of its neighbouring letter pairs (at most
-    two letters between them in the word), if the lengths differ beyond a
-    factor of 2.5, or if the value is below ``support``. The rest, few pairs, is computed in
-    batches of equal length.
+    Every subsequence of the words is looked up among those of the landmarks, so
+    no pair is ruled out beforehand: a value is 0 only if it is below ``support``.
     """
 
-    GAPS = 3
+    BATCH = 1 << 20  # subsequences looked up in one go
 
     def __init__(self, words: list[str], settings: Settings):
         self.s, self.words = settings, words
         self.codes = _codes(words, settings.word)
         self.size = (self.codes > 0).sum(1)
-        self.bits = _letter_bits(self.codes)
-        self.count = np.bitwise_count(self.bits).astype(np.int64)
-        self.pairs = _pair_bits(self.codes, 1)
-        self.pair_count = np.bitwise_count(self.pairs).astype(np.int64)
         self.own = self._self(self.codes, self.size)
         distinct = np.tril(np.ones((settings.word + 1, settings.word), np.int64), -1) * np.arange(1, settings.word + 1)
         self.floor = self._self(distinct, np.arange(settings.word + 1))
+        # letters as small numbers (0: in no landmark), subsequences as numbers to their base
+        used = np.unique(self.codes[self.codes > 0])
+        self.letter = np.zeros(0x110000, np.int64)
+        self.letter[used] = np.arange(1, len(used) + 1)
+        self.base = len(used) + 1
+        weight: dict[tuple[int, int], float] = {}
+        for k, n in enumerate(self.size.tolist()):
+            keys, factors = self._subsequences(self.letter[self.codes[k:k + 1]], n)
+            for key, factor in zip(keys[0].tolist(), factors.tolist(), strict=True):
+                weight[key, k] = weight.get((key, k), 0.0) + factor
+        found = sorted(weight)
+        self.keys, self.first = np.unique(np.array([key for key, _ in found], np.int64), return_index=True)
+        self.many = np.diff(np.append(self.first, len(found)))
+        self.landmark = np.array([k for _, k in found], np.int64)
+        self.weight = np.array([weight[x] for x in found])
+
+    def _subsequences(self, letters: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Number of every subsequence of words of ``n`` letters (0 if it is in no landmark), and its decay."""
+        places = _places(n, self.s.p)
+        keys, known = np.zeros((len(letters), len(places)), np.int64), np.ones((len(letters), len(places)), bool)
+        for place in places.T:
+            keys = keys * self.base + letters[:, place]
+            known &= letters[:, place] > 0
+        return np.where(known, keys, 0), self.s.decay ** (places[:, -1] - places[:, 0] + 1.0)
 
     def _self(self, codes: np.ndarray, sizes: np.ndarray) -> np.ndarray:
         out = np.zeros(len(codes), np.float32)
@@ -163,28 +170,22 @@ class Kernel:
         """(word, landmark, value) of the values that are not 0, by word."""
         codes = _codes(words, self.s.word)
         sizes = (codes > 0).sum(1)
-        bits, pairs = _letter_bits(codes), _pair_bits(codes, self.GAPS)
-        w, k = [], []
-        for j in range(len(self.words)):
-            near = 4 * np.bitwise_count(bits & self.bits[j]).astype(np.int64) >= 3 * self.count[j]
-            for side in (0, 1):
-                near &= (5 * np.bitwise_count(pairs[:, side] & self.pairs[j, side]).astype(np.int64)
-                         >= 3 * self.pair_count[j, side])
-            near &= (2 * sizes <= 5 * self.size[j]) & (2 * self.size[j] <= 5 * sizes)
-            at = np.flatnonzero(near)
-            w.append(at)
-            k.append(np.full(len(at), j))
-        w, k = np.concatenate(w), np.concatenate(k)
+        letters, w, k, value = self.letter[codes], [], [], []
+        for n in np.unique(sizes[sizes >= self.s.p]).tolist():
+            same = np.flatnonzero(sizes == n)
+            step = max(1, self.BATCH // len(_places(n, self.s.p)))
+            for lo in range(0, len(same), step):
+                at = same[lo:lo + step]
+                total = self._against_landmarks(letters[at], n)
+                row, mark = np.nonzero(total)
+                w.append(at[row])
+                k.append(mark)
+                value.append(total[row, mark])
+        if not w or not len(self.keys):
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
+        w, k, value = np.concatenate(w), np.concatenate(k), np.concatenate(value)
         order = np.argsort(w, kind="stable")
-        w, k = w[order], k[order]
-        value = np.zeros(len(w), np.float32)
-        shape = sizes[w] * 64 + self.size[k]
-        for both in np.unique(shape).tolist():
-            at = np.flatnonzero(shape == both)
-            n, m = divmod(both, 64)
-            for lo in range(0, len(at), 4096):
-                part = at[lo:lo + 4096]
-                value[part] = subsequence_kernel(codes[w[part], :n], self.codes[k[part], :m], self.s.p, self.s.decay)
+        w, k, value = w[order], k[order], value[order]
         # a word's own kernel is at least that of as many different letters: most pairs end here
         value /= np.sqrt(np.maximum(self.own[k], 1e-12))
         able = value >= 0.999 * self.s.support * np.sqrt(self.floor[sizes[w]])
@@ -196,6 +197,23 @@ class Kernel:
         keep = value >= self.s.support
         return w[keep], k[keep], value[keep]
 
+    def _against_landmarks(self, letters: np.ndarray, n: int) -> np.ndarray:
+        """Kernel values (not normalized) of words of ``n`` letters, a column per landmark."""
+        marks = len(self.words)
+        if not len(self.keys):
+            return np.zeros((len(letters), marks))
+        keys, factors = self._subsequences(letters, n)
+        row, at = np.nonzero(keys)
+        place = np.minimum(np.searchsorted(self.keys, keys[row, at]), len(self.keys) - 1)
+        hit = self.keys[place] == keys[row, at]
+        row, at, place = row[hit], at[hit], place[hit]
+        many = self.many[place]
+        nth = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+        where = np.repeat(self.first[place], many) + nth
+        return np.bincount(np.repeat(row, many) * marks + self.landmark[where],
+                           np.repeat(factors[at], many) * self.weight[where],
+                           len(letters) * marks).astype(float).reshape(-1, marks)
+
 
 class Scorer:
     """Kernel rows of sentences; a worker keeps what it has learnt of tokens, up to ``LIMIT``."""
