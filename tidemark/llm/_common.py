@@ -80,9 +80,9 @@ def power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers
 
 
-def _block_words(buf: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def _block_words(buf: np.ndarray, lower: bool, space: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and hash of every word of one block that cuts no word."""
-    solid = ~_SPACE[buf]
+    solid = ~space[buf]
     edge = np.flatnonzero(np.diff(np.concatenate(([False], solid, [False])).view(np.int8)))
     starts, ends = edge[0::2], edge[1::2]
     up, down = power_tables(len(buf) + 1)
@@ -93,21 +93,22 @@ def _block_words(buf: np.ndarray, lower: bool) -> tuple[np.ndarray, np.ndarray,
     return starts, ends, hashes
 
 
-def words(buf: np.ndarray, lower: bool = False) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(buf: np.ndarray, lower: bool = False,
+          space: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Start, end and 64-bit hash of every word in ``buf`` (UTF-8 bytes).
 
-    Words are maximal runs without ASCII white space. The hash is a
+    Words are maximal runs without a byte of ``space`` (ASCII white space). The hash is a
     polynomial over the word's bytes (A-Z folded when ``lower``), so it does
     not depend on where the word stands. Memory follows one block, not the
-    text: blocks are cut after white space.
+    text: blocks are cut after a byte of ``space``.
     """
     parts, at, n = [], 0, len(buf)
     while at < n:
         end = min(n, at + BLOCK)
-        while end < n and not _SPACE[buf[end - 1]]:
-            space = np.flatnonzero(_SPACE[buf[end:end + BLOCK]])
-            end = end + int(space[0]) + 1 if len(space) else min(n, end + BLOCK)
-        s, e, h = _block_words(buf[at:end], lower)
+        while end < n and not space[buf[end - 1]]:
+            gap = np.flatnonzero(space[buf[end:end + BLOCK]])
+            end = end + int(gap[0]) + 1 if len(gap) else min(n, end + BLOCK)
+        s, e, h = _block_words(buf[at:end], lower, space)
         parts.append((s + at, e + at, h))
         at = end
     if not parts:

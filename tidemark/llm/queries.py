@@ -10,8 +10,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidemark.llm import (fingerprints, jaccard_join, licenses, mixing, packing, quality, secrets, suffix_dedup,
-                          toxicity, warc)
+from tidemark.llm import (alignment, decontaminate, fingerprints, jaccard_join, licenses, mixing, packing, quality,
+                          secrets, suffix_dedup, toxicity, variants, warc)
 from tidemark.llm._common import read_table
 
 
@@ -57,6 +57,19 @@ def op10_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_components(read_table(spark, sf_dir, "documents"))
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.spelling_variants(variants.noisy_words(read_table(spark, sf_dir, "documents")))
+
+
+def op12_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(read_table(spark, sf_dir, "documents"))
+
+
+def op13_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.digest(decontaminate.scan(read_table(spark, sf_dir, "documents"),
+                                                   read_table(spark, sf_dir, "benchmark")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_packing": op2_packing,
@@ -68,6 +81,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": op8_quality,
     "op9_warc": op9_warc,
     "op10_jaccard_join": op10_jaccard_join,
+    "op11_spelling_variants": op11_spelling_variants,
+    "op12_token_alignment": op12_token_alignment,
+    "op13_decontamination": op13_decontamination,
 }
 
 ORACLE_SQL: dict[str, str] = {
