@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.session import materialize
+
 #: Rows handed to Python at once. Documents average a few kB, so a batch stays a few MB.
 ARROW_ROWS = 1000
 
@@ -33,6 +35,16 @@ def width(spark: SparkSession) -> int:
     return max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
 
 
+def settle(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """``materialize``, then as few partitions as hold about ``rows`` rows each.
+
+    A frame that fits one partition is joined and grouped with others like it without any
+    shuffle, so rounds over few rows don't each write a file per pair of tasks.
+    """
+    out = materialize(df)
+    return out.coalesce(max(1, -(-out.count() // rows)))
+
+
 def text_column(name: str = "text") -> Column:
     """Text with null read as empty."""
     return F.coalesce(F.col(name).cast("string"), F.lit(""))

@@ -45,6 +45,7 @@ class Pairing:
     pieces: str = "piece_bpe_32k.model"    # B, likewise
     lane: int = 512                        # A tokens of a lane, about
     part_bytes: int = 16 << 20             # text of a part
+    bucket_bytes: int = 64 << 20           # text per bucket of pairs
     merge: int = 64                        # parts whose pairs are added up in one go
     copies: int = 64                       # equal rows of a task that stay in one part
     stretches: int = 400_000               # of B that a worker remembers
@@ -306,7 +307,8 @@ def _part_pairs(aligned: DataFrame, buckets: int, wide: int, merge: int) -> Data
         return pa.table({"bucket": pa.array(some, pa.int32()), "slot": pa.array([part // merge] * len(some), pa.int64()),
                          "part": pa.array([part] * len(some), pa.int64()), "data": pa.array(data, pa.binary())})
 
-    return aligned.select("part", "pairs").groupBy("part").applyInArrow(run, "bucket int, slot long, part long, data binary")
+    # all columns: the texts' shuffle is the one that the results are made from, so it runs once
+    return aligned.groupBy("part").applyInArrow(run, "bucket int, slot long, part long, data binary")
 
 
 def _totals(parts: DataFrame, slots: int, wide: int) -> DataFrame:
@@ -358,9 +360,9 @@ def align(docs: DataFrame, pairing: Pairing = Pairing()) -> DataFrame:
     small_batches(spark)
     wide = len(tokenizers(pairing).b_bytes)
     size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_parts = max(2 * width(spark), -(-size // pairing.part_bytes))
+    n_parts = max(width(spark), -(-size // pairing.part_bytes))
     slots = -(-n_parts // pairing.merge)
-    buckets = min(n_parts, 2048)
+    buckets = max(8, min(2048, -(-size // pairing.bucket_bytes)))
     aligned = _aligned(docs, pairing, n_parts)
     parts = _part_pairs(aligned, buckets, wide, pairing.merge)
     answers = _answers(parts, _totals(parts, slots, wide))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import materialize
+from tidemark.llm._common import settle
 
 
 def _star(edges: DataFrame, both: bool) -> DataFrame:
@@ -32,20 +32,19 @@ def _star(edges: DataFrame, both: bool) -> DataFrame:
     return out.where("a <> b").distinct()
 
 
-def components(links: DataFrame, max_rounds: int = 60) -> DataFrame:
+def components(links: DataFrame) -> DataFrame:
     """node, component (least node reachable) for every node of ``links`` (a, b).
 
-    Nodes without links are left out. Each round is cut with a checkpoint, so
-    a lost executor costs one round at most.
+    Nodes without links are left out. Rounds go on until the edges stay the same; each is cut with a
+    checkpoint, so a lost executor costs one round at most.
     """
-    edges = materialize(links.select("a", "b").where("a <> b").distinct())
+    edges = settle(links.select("a", "b").where("a <> b").distinct())
     before = None
-    for _ in range(max_rounds):
-        edges = materialize(_star(_star(edges, True), False))
+    while True:
+        edges = settle(_star(_star(edges, True), False))
         # an order-free digest of the edge set: one row
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
-            return edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(
-                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+            return settle(edges.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("component")).unionByName(
+                edges.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()))
         before = now
-    raise RuntimeError(f"components did not settle in {max_rounds} rounds")

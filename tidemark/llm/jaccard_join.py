@@ -5,8 +5,9 @@ and m with similarity at least t share a token among the first
 n - ceil(t n) + 1 tokens of each, under any fixed order of all tokens. All
 orders used here put frequent tokens last (frequency classes from one
 count sketch of fixed size) and differ in how they order the rest. The first order
-makes candidates through an inverted index; the others and the exact
-similarity are then checked on the sets themselves.
+makes candidates through an inverted index; the prefixes under the other
+orders, kept as 32-bit hashes per class, are intersected for every candidate, and only
+pairs that share a token under each order have their full sets fetched and verified.
 
 Before that, a class goes no further if more than n - ceil(t n) of its tokens
 are in no other class: no set can then be similar enough. That is counted
@@ -41,8 +42,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import (WORD, batches_of_bytes, joined, mix, small_batches, text_column, utf8, width,
-                                  window_hashes, words)
+from tidemark.llm._common import (WORD, batches_of_bytes, joined, mix, settle, small_batches, text_column, utf8,
+                                  width, window_hashes, words)
 from tidemark.llm.components import components
 from tidemark.session import materialize
 
@@ -62,6 +63,7 @@ class Join:
 SKETCH_BITS = 21                 # cells of the count sketch, whatever the corpus
 SLICE_BITS = 15                  # cells in one row of the sketch's shuffle
 FILTER_BITS = 24                 # bits of the candidate filter: 2 MB, whatever the corpus
+SETS = 4000                      # full sets, or class rows with bitmaps, that a task holds at once
 PARITY_BITS = 2048               # bits of a set's parity bitmap
 _ORDER = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5,
                                  0x85EBCA77C2B2AE63)]
@@ -121,10 +123,15 @@ def may_link(x: np.ndarray, y: np.ndarray, n: np.ndarray, m: np.ndarray, percent
             & (100 * np.minimum(n, m) >= percent * np.maximum(n, m)))
 
 
-def _profile(docs: DataFrame, k: int, key: Column) -> DataFrame:
-    """One pass: (doc_id, class, n, parity, key) of every row, and sketch slices per task."""
-    names = ["doc_id", "class", "n", "parity", "key", "slice", "counts"]
-    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int32(), pa.binary()]
+def _text_key() -> Column:
+    """Hash that stands for a whole text; its low bits are the candidate filter's slot."""
+    return F.xxhash64(text_column())
+
+
+def _profile(docs: DataFrame, k: int, keys: list[Column]) -> DataFrame:
+    """One pass: (doc_id, class, n, parity, text, key, key2) of every row, and sketch slices per task."""
+    names = ["doc_id", "class", "n", "parity", "text", "key", "key2", "slice", "counts"]
+    types = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.binary()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells = np.zeros(1 << SKETCH_BITS, np.uint64)
@@ -141,16 +148,17 @@ def _profile(docs: DataFrame, k: int, key: Column) -> DataFrame:
             digests, sizes, bits = zip(*rows, strict=True) if rows else ((), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array(digests, types[1]), pa.array(sizes, types[2]), pa.array(bits, types[3]),
-                 batch.column(2), pa.nulls(batch.num_rows, types[5]), pa.nulls(batch.num_rows, types[6])], names=names)
+                 *(batch.column(c) for c in (2, 3, 4)), *(pa.nulls(batch.num_rows, t) for t in types[7:])], names=names)
         parts = cells.reshape(-1, 1 << SLICE_BITS)
         some = np.flatnonzero(parts.any(1))
         yield pa.RecordBatch.from_arrays(
-            [pa.nulls(len(some), t) for t in types[:5]] + [
-                pa.array(some, types[5]), pa.array([zlib.compress(parts[s].tobytes(), 1) for s in some], types[6])],
+            [pa.nulls(len(some), t) for t in types[:7]] + [
+                pa.array(some, types[7]), pa.array([zlib.compress(parts[s].tobytes(), 1) for s in some], types[8])],
             names=names)
 
-    return docs.select(F.col("doc_id").cast("long"), text_column().alias("text"), key.alias("key")).mapInArrow(
-        run, "doc_id long, class long, n long, parity binary, key long, slice int, counts binary")
+    return docs.select(F.col("doc_id").cast("long"), text_column().alias("text"), _text_key().alias("text_key"),
+                       keys[0].alias("key"), keys[1].alias("key2")).mapInArrow(
+        run, "doc_id long, class long, n long, parity binary, text long, key long, key2 long, slice int, counts binary")
 
 
 def _sketch(profile: DataFrame) -> np.ndarray:
@@ -271,30 +279,39 @@ def _passes(filled: np.ndarray, slot: np.ndarray) -> np.ndarray:
 _POSTING = np.dtype([("token", "<u8"), ("class", "<i8"), ("n", "<u4")])
 
 
-def _postings(docs: DataFrame, linkable: DataFrame, frequency: np.ndarray, join: Join, buckets: int) -> DataFrame:
-    """The first order's index of the ``linkable`` classes (and a few that pass their bit
-    filter by chance), packed: a row per task batch and bucket."""
+def _index(docs: DataFrame, linkable: DataFrame, frequency: np.ndarray, join: Join, buckets: int) -> DataFrame:
+    """Of the ``linkable`` classes (and a few that pass their bit filter by chance): the first order's
+    postings, packed, a row per task batch and bucket; and a row (class, heads) with the prefixes
+    under the other orders as 32-bit hashes."""
     mask = (1 << FILTER_BITS) - 1
     filled = _bit_filter(linkable.select(F.col("class").bitwiseAND(F.lit(mask)).alias("slot")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen, parts = set(), []
+            seen, parts, heads = {}, [], []
             for _, tokens in _sets_of(batch, 0, join.k):
                 if (len(tokens) and (digest := set_digest(tokens)) not in seen
                         and _passes(filled, np.array([digest & mask]))[0]):
-                    seen.add(digest)
+                    seen[digest] = len(seen)
+                    heads.append(b"".join(
+                        np.sort(_prefix(tokens, frequency, o, join.percent).astype(np.uint32)).tobytes()
+                        for o in range(1, join.orders)))
                     head = _prefix(tokens, frequency, 0, join.percent)
                     part = np.empty(len(head), _POSTING)
                     part["token"], part["class"], part["n"] = head, digest, len(tokens)
                     parts.append(part)
             if parts:
                 every = np.concatenate(parts)
+                bucket, packed = _by_bucket(every, (every["token"] % np.uint64(buckets)).astype(np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [*_by_bucket(every, (every["token"] % np.uint64(buckets)).astype(np.int64))],
-                    names=["bucket", "postings"])
+                    [pa.concat_arrays([bucket, pa.nulls(len(heads), pa.int32())]),
+                     pa.concat_arrays([packed, pa.nulls(len(heads), pa.binary())]),
+                     pa.concat_arrays([pa.nulls(len(bucket), pa.int64()), pa.array(list(seen), pa.int64())]),
+                     pa.concat_arrays([pa.nulls(len(bucket), pa.binary()), pa.array(heads, pa.binary())])],
+                    names=["bucket", "postings", "class", "heads"])
 
-    return docs.select(text_column().alias("text")).mapInArrow(run, "bucket int, postings binary")
+    return docs.select(text_column().alias("text")).mapInArrow(
+        run, "bucket int, postings binary, class long, heads binary")
 
 
 def _near(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
@@ -331,29 +348,33 @@ def _shared(postings: DataFrame, join: Join) -> DataFrame:
 
 
 def _candidate_sets(docs: DataFrame, classes: DataFrame, k: int) -> DataFrame:
-    """(class, tokens) for the classes that share a prefix token with another.
+    """(class, tokens) of the given classes.
 
-    ``classes``: class, doc_id (one document each). A bit filter of fixed size drops
-    nearly all other documents before any set is built or shuffled; the join
-    then keeps exactly the wanted ones.
+    ``classes``: class, text (the key of one of its texts). A bit filter of fixed size drops
+    nearly all other documents before any set is built or shuffled, a task builds equal
+    texts' set once, and the join then keeps exactly the wanted ones.
     """
-    slot = F.pmod(F.xxhash64("doc_id"), F.lit(1 << FILTER_BITS))
-    filled = _bit_filter(classes.select(slot.alias("slot")))
+    mask = (1 << FILTER_BITS) - 1
+    filled = _bit_filter(classes.select(F.col("text").bitwiseAND(F.lit(mask)).alias("slot")))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        done: set[int] = set()
         for batch in batches:
-            batch = batch.filter(pa.array(_passes(filled, batch.column(2).to_numpy())))
+            keys = batch.column(0).to_numpy()
+            fresh = []
+            for i in np.flatnonzero(_passes(filled, keys & mask)).tolist():
+                if keys[i] not in done:
+                    done.add(keys[i])
+                    fresh.append(i)
+            batch = batch.take(pa.array(fresh, pa.int64()))
             rows = [(i, tokens) for i, tokens in _sets_of(batch, 1, k) if len(tokens)] if batch.num_rows else []
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array([i for i, _ in rows], pa.int64())),
-                 pa.array([set_digest(t) for _, t in rows], pa.int64()),
-                 pa.array([t.tobytes() for _, t in rows], pa.binary())],
-                names=["doc_id", "class", "tokens"])
-
-    sets = docs.select(F.col("doc_id").cast("long"), text_column().alias("text"), slot.alias("slot")).mapInArrow(
-        run, "doc_id long, class long, tokens binary")
-    wanted = classes.select(F.col("class").alias("_class"), F.col("doc_id").alias("_doc"))
-    return (sets.join(wanted, (F.col("class") == F.col("_class")) & (F.col("doc_id").eqNullSafe(F.col("_doc"))))
+                 pa.array([t.tobytes() for _, t in rows], pa.binary())], names=["text", "tokens"])
+
+    sets = docs.select(_text_key().alias("key"), text_column().alias("text")).mapInArrow(run, "text long, tokens binary")
+    wanted = classes.select("class", F.col("text").alias("_text"))
+    return (sets.join(wanted, F.col("text") == F.col("_text"))
             .groupBy("class").agg(F.first("tokens").alias("tokens")))  # one of equal values
 
 
@@ -373,33 +394,35 @@ def _possible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
             .mapInArrow(run, "a long, b long"))
 
 
-def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, frequency: np.ndarray, join: Join) -> DataFrame:
-    """The pairs (a, b) that pass every order's prefix filter and the exact similarity."""
+def _meet_in_all_orders(pairs: DataFrame, heads: DataFrame, join: Join) -> DataFrame:
+    """The pairs that share a prefix token (by its 32-bit hash) under every further order."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known: dict[bytes, list[np.ndarray]] = {}
+        for batch in batches:
+            keep = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = (np.frombuffer(raw, np.uint32).reshape(join.orders - 1, -1) for raw in (x, y))
+                keep.append(all(np.isin(p, q).any() for p, q in zip(x, y, strict=True)))
+            yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-        def heads(raw: bytes) -> list[np.ndarray]:
-            if raw not in known:
-                if len(known) > 256:
-                    known.clear()
-                tokens = np.frombuffer(raw, np.uint64)
-                known[raw] = [tokens, *(np.sort(_prefix(tokens, frequency, o, join.percent))
-                                        for o in range(1, join.orders))]
-            return known[raw]
+    one, two = (heads.select(F.col("class").alias(c), F.col("heads").alias(f"h{c}")) for c in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "ha", "hb").mapInArrow(run, "a long, b long")
 
+
+def _links(pairs: DataFrame, docs: DataFrame, classes: DataFrame, heads: DataFrame, join: Join) -> DataFrame:
+    """The pairs (a, b) that pass every order's prefix filter and the exact similarity."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keep = []
             for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
-                one, two = heads(x), heads(y)
-                ok = all(len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(one[1:], two[1:], strict=True))
-                if ok:
-                    both = len(np.intersect1d(one[0], two[0], assume_unique=True))
-                    ok = 100 * both >= join.percent * (len(one[0]) + len(two[0]) - both)
-                keep.append(ok)
+                one, two = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                both = len(np.intersect1d(one, two, assume_unique=True))
+                keep.append(100 * both >= join.percent * (len(one) + len(two) - both))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
+    if join.orders > 1:
+        pairs = settle(_meet_in_all_orders(pairs.select("a", "b"), heads, join))
     ends = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
-    sets = materialize(_candidate_sets(docs, ends.join(classes.select("class", "doc_id"), "class"), join.k))
+    sets = settle(_candidate_sets(docs, ends.join(classes.select("class", "text"), "class"), join.k), SETS)
     left = sets.select(F.col("class").alias("a"), F.col("tokens").alias("a_tokens"))
     right = sets.select(F.col("class").alias("b"), F.col("tokens").alias("b_tokens"))
     return (pairs.select("a", "b").join(left, "a").join(right, "b").select("a", "b", "a_tokens", "b_tokens")
@@ -468,6 +491,8 @@ def _block_pairs(group: DataFrame, classes: DataFrame, join: Join) -> DataFrame:
         found = np.concatenate(out)
         return pa.table({"a": found[:, 0], "b": found[:, 1]})
 
+    # every two blocks in a task of their own, few as the rows may be
+    rows = rows.repartition(width(group.sparkSession), "token", "lo", "hi")
     return rows.groupBy("token", "lo", "hi").applyInArrow(run, "a long, b long").distinct()
 
 
@@ -480,18 +505,18 @@ def _degrees(links: DataFrame, label: DataFrame, classes: DataFrame, docs: DataF
     """
     ends = links.select(F.explode(F.array("a", "b")).alias("class")).groupBy("class").agg(
         F.count(F.lit(1)).alias("n_links"))
-    found = materialize(label.join(ends, F.col("node") == F.col("class")).select("class", "component", "n_links"))
+    found = settle(label.join(ends, F.col("node") == F.col("class")).select("class", "component", "n_links"))
     sizes = (found.groupBy(F.col("component").alias("_component"))
              .agg(F.count(F.lit(1)).alias("size"), F.sum("n_links").alias("seen"))
              .withColumn("part", F.col("seen") < F.col("size") * (F.col("size") - 1)))
-    found = materialize(found.join(sizes, F.col("component") == F.col("_component"))
-                        .select("class", "component", "n_links", "size", "part"))
+    found = settle(found.join(sizes, F.col("component") == F.col("_component"))
+                   .select("class", "component", "n_links", "size", "part"))
     known = found.where("not part").select("class", "n_links")
     part = found.where("part").select(F.col("class").alias("_class"), "component", F.ceil(
         F.col("size") / F.greatest(F.lit(join.block), F.sqrt(8 * F.col("size")))).cast("int").alias("blocks"))
     if part.isEmpty():
         return known
-    sets = _candidate_sets(docs, part.join(classes, F.col("_class") == F.col("class")).select("class", "doc_id"), join.k)
+    sets = _candidate_sets(docs, part.join(classes, F.col("_class") == F.col("class")).select("class", "text"), join.k)
     meets = F.transform(F.sequence(F.lit(0), F.col("blocks") - 1), lambda i: F.struct(
         F.least(i, F.col("own")).alias("lo"), F.greatest(i, F.col("own")).alias("hi")))
     rows = (sets.join(part, F.col("class") == F.col("_class"))
@@ -524,58 +549,63 @@ def _degrees(links: DataFrame, label: DataFrame, classes: DataFrame, docs: DataF
             count[i] += linked.sum()
         return pa.table({"class": cls[order], "n_links": count})
 
+    rows = rows.repartition(width(docs.sparkSession), "component", "lo", "hi")
     counted = (rows.groupBy("component", "lo", "hi").applyInArrow(run, "class long, n_links long")
                .groupBy("class").agg(F.sum("n_links").alias("n_links")))
     return known.unionByName(counted)
 
 
-def _linked(docs: DataFrame, join: Join, key: Column | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
-    """(doc_id, class, n, key, group) of every row, verified links that connect every component,
+def _linked(docs: DataFrame, join: Join,
+            keys: list[Column] | None = None) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """(doc_id, class, n, key, key2, group) of every row, verified links that connect every component,
     component of every linked class, and the classes that may link.
 
-    ``group`` is the row's component, null without shingles; ``key`` is a column of ``docs`` to carry along.
+    ``group`` is the row's component, null without shingles; ``keys`` are two columns of ``docs`` to carry along.
     """
     spark = docs.sparkSession
     small_batches(spark, 500)
-    profile = materialize(_profile(docs, join.k, F.lit(0).cast("long") if key is None else key))
-    table = profile.where("slice is null").select("doc_id", "class", "n", "parity", "key")
+    profile = materialize(_profile(docs, join.k, keys or [F.lit(0).cast("long")] * 2))
+    table = profile.where("slice is null").select("doc_id", "class", "n", "parity", "text", "key", "key2")
     frequency = _sketch(profile)
     buckets = join.buckets or 2 * width(spark)
     lone = _lone_tokens(docs, join, max(1, buckets // 2)).select(F.col("class").alias("_class"), "lone")
-    classes = materialize(
-        table.where("n > 0").groupBy("class").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"),
+    classes = settle(
+        table.where("n > 0").groupBy("class").agg(F.min("text").alias("text"), F.first("n").alias("n"),
                                                   F.first("parity").alias("parity"))
         .join(lone, F.col("class") == F.col("_class"), "left")
-        .where(F.coalesce("lone", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * join.percent / 100)).drop("_class", "lone"))
-    shared = materialize(_shared(_postings(docs, classes, frequency, join, buckets), join))
-    heavy = shared.where("b is null").select("token", F.col("a").alias("class"))
-    tried = materialize(_possible(shared.where("b is not null").select("a", "b").distinct(), classes, join.percent))
+        .where(F.coalesce("lone", F.lit(0)) <= F.col("n") - F.ceil(F.col("n") * join.percent / 100)).drop("_class", "lone"),
+        16 * SETS)
+    index = materialize(_index(docs, classes, frequency, join, buckets))
+    heads = settle(index.where("bucket is null").groupBy("class").agg(F.first("heads").alias("heads")), 16 * SETS)
+    shared = materialize(_shared(index.where("bucket is not null").select("bucket", "postings"), join))
+    heavy = settle(shared.where("b is null").select("token", F.col("a").alias("class")))
+    tried = settle(_possible(settle(shared.where("b is not null").select("a", "b").distinct()), classes, join.percent))
     # one partner of every class first; of the other pairs, those between components
     both = tried.unionByName(tried.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    some = both.groupBy("a").agg(F.min("b").alias("b"))
-    some = materialize(some.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    links = materialize(_links(some, docs, classes, frequency, join))
+    some = settle(both).groupBy("a").agg(F.min("b").alias("b"))
+    some = settle(some.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    links = settle(_links(some, docs, classes, heads, join))
     label = components(links)
-    rest = materialize(_apart(tried.join(some, ["a", "b"], "left_anti"), label))
+    rest = settle(_apart(tried.join(some, ["a", "b"], "left_anti"), label))
     if not rest.isEmpty():
-        links = links.unionByName(materialize(_links(rest, docs, classes, frequency, join)))
+        links = settle(links.unionByName(_links(rest, docs, classes, heads, join)))
         label = components(links)
     for round_no in range(join.pivot_rounds + 1):
-        group = materialize(_open(heavy, label))
+        group = settle(_open(heavy, label))
         if group.isEmpty():
             break
         pairs = (_possible(_pivot_pairs(group), classes, join.percent) if round_no < join.pivot_rounds
                  else _block_pairs(group, classes, join))
-        pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"))
+        pairs = settle(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))).distinct()
+        pairs = settle(pairs.join(tried, ["a", "b"], "left_anti"))
         if pairs.isEmpty():
             continue
-        tried = tried.unionByName(pairs)
-        links = links.unionByName(materialize(_links(pairs, docs, classes, frequency, join)))
+        tried = settle(tried.unionByName(pairs))
+        links = settle(links.unionByName(_links(pairs, docs, classes, heads, join)))
         label = components(links)
 
     rows = table.join(label, F.col("class") == F.col("node"), "left").select(
-        "doc_id", "class", "n", "key", F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("group"))
+        "doc_id", "class", "n", "key", "key2", F.when(F.col("n") > 0, F.coalesce("component", "class")).alias("group"))
     return rows, links, label, classes
 
 
@@ -601,14 +631,14 @@ def one_per_component(docs: DataFrame, join: Join = Join()) -> DataFrame:
     The row with the least doc_id stays (nulls last), then the one with the least set digest, then
     the least hash of the row; of rows equal in all columns one stays.
     """
-    key = F.xxhash64(*docs.columns)
-    rows = _linked(docs, join, key)[0]
+    keys = [F.xxhash64(*docs.columns), F.xxhash64(F.lit("second"), *docs.columns)]  # 128 bits stand for a row
+    rows = _linked(docs, join, keys)[0]
     stay = (rows.where("n > 0").groupBy("group")
-            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class", "key")).alias("least"))
-            .select(F.col("least.key").alias("_stay")))
+            .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class", "key", "key2")).alias("least"))
+            .select(F.col("least.key").alias("_stay"), F.col("least.key2").alias("_stay2")))
     has_words = text_column().rlike(WORD)
     # equal rows meet before the shuffle, and the join keeps its layout: texts travel once
-    row = (docs.where(has_words).select(key.alias("_key"), F.struct(*docs.columns).alias("_row"))
-           .groupBy("_key").agg(F.first("_row").alias("_row")))
-    return (row.join(stay, F.col("_key") == F.col("_stay"), "left_semi").select("_row.*")
-            .unionByName(docs.where(~has_words)))
+    row = (docs.where(has_words).select(keys[0].alias("_key"), keys[1].alias("_key2"), F.struct(*docs.columns).alias("_row"))
+           .groupBy("_key", "_key2").agg(F.first("_row").alias("_row")))
+    stays = (F.col("_key") == F.col("_stay")) & (F.col("_key2") == F.col("_stay2"))
+    return row.join(stay, stays, "left_semi").select("_row.*").unionByName(docs.where(~has_words))
