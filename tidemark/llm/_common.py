@@ -50,6 +50,12 @@ def text_column(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit(""))
 
 
+def row_keys(docs: DataFrame) -> list[Column]:
+    """Two 64-bit hashes of all columns, which place holds a null included; together they stand for a row."""
+    parts = [x for c in docs.columns for x in (F.col(f"`{c}`"), F.col(f"`{c}`").isNull())]
+    return [F.xxhash64(*parts), F.xxhash64(F.lit("second"), *parts)]
+
+
 def utf8(column: pa.Array) -> list[bytes]:
     """UTF-8 bytes of a string column, null as empty."""
     return [b"" if v is None else v for v in column.cast(pa.binary()).to_pylist()]

@@ -42,8 +42,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import (WORD, batches_of_bytes, joined, mix, settle, small_batches, text_column, utf8,
-                                  width, window_hashes, words)
+from tidemark.llm._common import (WORD, batches_of_bytes, joined, mix, row_keys, settle, small_batches, text_column,
+                                  utf8, width, window_hashes, words)
 from tidemark.llm.components import components
 from tidemark.session import materialize
 
@@ -631,7 +631,7 @@ def one_per_component(docs: DataFrame, join: Join = Join()) -> DataFrame:
     The row with the least doc_id stays (nulls last), then the one with the least set digest, then
     the least hash of the row; of rows equal in all columns one stays.
     """
-    keys = [F.xxhash64(*docs.columns), F.xxhash64(F.lit("second"), *docs.columns)]  # 128 bits stand for a row
+    keys = row_keys(docs)
     rows = _linked(docs, join, keys)[0]
     stay = (rows.where("n > 0").groupBy("group")
             .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "class", "key", "key2")).alias("least"))

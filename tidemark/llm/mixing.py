@@ -5,7 +5,8 @@ all words by weight; no target exceeds ``MAX_EPOCHS`` times its source, the
 excess going to the others by weight. Targets are paid in blocks of ``block``
 words: the highest quotients w / (2 k + 1) win the seats, first among sources,
 then among the shards of each source. A shard is a hash slice of a source of
-about ``shard_words`` words, so no source is ever ordered as a whole. In a
+about ``shard_words`` words or ``shard_rows`` rows, whichever is less, so no source is ever ordered as
+a whole; the hash covers all columns, so rows that share a doc_id (or have none) are spread. In a
 shard the documents stand in seeded order; its quota takes whole passes over
 the shard and then the first blocks of that order.
 
@@ -13,8 +14,8 @@ Native column expressions throughout. Single-task windows run only over the
 source table (one row per source).
 
 Defined cases: null text has size 0 and is never taken; a null source is a
-source; repeated rows are mixed as separate documents; an empty table, or one
-without any word, takes nothing.
+source; a null doc_id is an id like others; repeated rows are mixed as separate documents (equal ones stand in
+one shard); very long texts are counted whole; an empty table, or one without any word, takes nothing.
 """
 
 from __future__ import annotations
@@ -22,22 +23,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm._common import WORD, text_column
+from tidemark.llm._common import WORD, row_keys, text_column
 from tidemark.session import materialize
 
 BLOCK_WORDS = 32
 SHARD_WORDS = 1 << 22
+SHARD_ROWS = 1 << 14
 MAX_EPOCHS = 3
 WEIGHT_CYCLE = 3
 SEED = "mix-1"
 
 
 def document_sizes(docs: DataFrame, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size in words and the seeded place of every document; texts go no further."""
+    """doc_id, source, size in words, the row's keys and its seeded place; texts go no further."""
+    key, key2 = row_keys(docs)
     return docs.select(
         F.col("doc_id").cast("long"), F.col("source").cast("string"),
-        F.regexp_count(text_column(), F.lit(WORD)).cast("long").alias("size"),
-        F.md5(F.concat(F.lit(seed + ":"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))).alias("place"))
+        F.regexp_count(text_column(), F.lit(WORD)).cast("long").alias("size"), key.alias("key"), key2.alias("key2")
+    ).withColumn("place", F.md5(F.concat_ws(":", F.lit(seed), F.col("doc_id").cast("string"), F.col("key").cast("string"))))
 
 
 def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
@@ -51,7 +54,7 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
     limit = F.lit(max_epochs) * F.col("source_size")
     by_limit = Window.orderBy((limit / F.col("weight")).asc(), F.col("source_rank"))
     before = by_limit.rowsBetween(Window.unboundedPreceding, -1)
-    return (sizes.groupBy("source").agg(F.sum("size").alias("source_size"))
+    return (sizes.groupBy("source").agg(F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("source_rows"))
             .withColumn("source_rank", F.row_number().over(by_name))
             .withColumn("weight", 1 + (F.col("source_rank") - 1) % WEIGHT_CYCLE)
             .withColumn("total", F.sum("source_size").over(everything))
@@ -62,7 +65,7 @@ def source_targets(sizes: DataFrame, max_epochs: int = MAX_EPOCHS) -> DataFrame:
             .withColumn("level", F.max(F.when(F.col("level") * F.col("weight") <= limit, F.col("level")))
                         .over(everything))
             .withColumn("target", F.least(limit.cast("double"), F.col("level") * F.col("weight")))
-            .select("source", "source_rank", "source_size", "target", "total"))
+            .select("source", "source_rank", "source_size", "source_rows", "target", "total"))
 
 
 def sainte_lague(units: DataFrame, group: list[str], unit: list[str], weight: str, seats: str) -> DataFrame:
@@ -101,8 +104,8 @@ def sainte_lague(units: DataFrame, group: list[str], unit: list[str], weight: st
 
 
 def mix(docs: DataFrame, block: int = BLOCK_WORDS, shard_words: int = SHARD_WORDS,
-        max_epochs: int = MAX_EPOCHS, seed: str = SEED) -> DataFrame:
-    """doc_id, source, size, source_size, target, passes, part and taken of every document.
+        max_epochs: int = MAX_EPOCHS, seed: str = SEED, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """doc_id, source, size, source_size, target, passes, part, taken and row keys of every document.
 
     ``passes`` whole copies plus the first ``part`` words make up ``taken``.
     """
@@ -110,7 +113,8 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, shard_words: int = SHARD_WORD
     sources = materialize(source_targets(sizes, max_epochs)
                           .withColumn("seats", F.round(F.col("target") / block).cast("long"))
                           .withColumn("all_seats", F.round(F.col("total") / block).cast("long"))
-                          .withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words))))
+                          .withColumn("n_shards", F.greatest(F.lit(1), F.ceil(F.col("source_size") / shard_words),
+                                                              F.ceil(F.col("source_rows") / shard_rows))))
     quotas = sainte_lague(sources, ["all_seats"], ["source_rank"], "target", "all_seats").select(
         F.col("source").alias("_source"), "source_rank", "source_size", "target", "n_shards",
         F.col("quota").alias("source_quota"))
@@ -129,30 +133,34 @@ def mix(docs: DataFrame, block: int = BLOCK_WORDS, shard_words: int = SHARD_WORD
             .withColumn("passes", F.coalesce(F.floor(F.try_divide("shard_words", "shard_size")), F.lit(0)).cast("long"))
             .withColumn("part", F.greatest(F.lit(0), F.least(
                 F.col("size"), F.col("shard_words") - F.col("passes") * F.col("shard_size") - F.col("start"))))
-            .select("doc_id", "source", "size", "source_size", "target", "passes", "part",
+            .select("doc_id", "source", "size", "source_size", "target", "passes", "part", "key", "key2",
                     (F.col("passes") * F.col("size") + F.col("part")).cast("long").alias("taken")))
 
 
 def mixed_documents(docs: DataFrame, **options) -> DataFrame:
-    """The mixed corpus: each document once per whole pass, plus the words of a partial one.
+    """The mixed corpus: each row once per whole pass, plus the words of a partial one.
 
-    A partial copy keeps its first ``part`` words, joined by blanks. Rows that
-    share a doc_id are mixed as one row set: each takes what the first of its
-    id and size was given.
+    A partial copy keeps its first ``part`` words, joined by blanks. Rows are told apart by all of their
+    columns; equal rows meet before the shuffle, and together give the copies that each was given.
+    A shard has one partial copy at most, so the list of a row's partial copies stays short.
     """
-    plan = (mix(docs, **options).where("taken > 0")
-            .groupBy(F.col("doc_id").alias("_id"), F.col("size").alias("_size"), F.col("source").alias("_source"))
-            .agg(F.max("passes").alias("_passes"), F.max("part").alias("_part")))
-    size = F.regexp_count(text_column(), F.lit(WORD)).cast("long")
-    copies = F.explode(F.sequence(F.lit(1).cast("long"), F.col("_passes") + (F.col("_part") > 0).cast("long")))
-    joined = docs.withColumn("_n", size).join(
-        plan, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_n") == F.col("_size"))
-        & F.col("source").cast("string").eqNullSafe(F.col("_source")))
-    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all("text", F.lit(WORD), F.lit(0)), 1,
-                                   F.col("_part").cast("int")))
-    partial = (F.col("_copy") > F.col("_passes")) & (F.col("_part") < F.col("_n"))
-    out = joined.withColumn("_copy", copies).withColumn("text", F.when(partial, cut).otherwise(F.col("text")))
+    part = F.when((F.col("part") > 0) & (F.col("part") < F.col("size")), F.col("part"))
+    plan = (mix(docs, **options).where("taken > 0").groupBy("key", "key2")
+            .agg(F.sum(F.col("passes") + (F.col("part") == F.col("size")).cast("long")).cast("int").alias("passes"),
+                 F.collect_list(part).alias("parts"))
+            .select(F.col("key").alias("_key"), F.col("key2").alias("_key2"), "passes", "parts"))
+    key, key2 = row_keys(docs)
+    rows = (docs.select(key.alias("key"), key2.alias("key2"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+            .groupBy("key", "key2").agg(F.first("row").alias("row")))
+    whole = F.array_repeat(F.lit(None).cast("long"), F.col("passes"))
+    copies = rows.join(plan, (F.col("key") == F.col("_key")) & (F.col("key2") == F.col("_key2"))).select(
+        "row", F.explode(F.concat(whole, "parts")).alias("part"))
+    field = {c: F.col("row").getField(c) for c in docs.columns}
+    cut = F.concat_ws(" ", F.slice(F.regexp_extract_all(field["text"], F.lit(WORD), F.lit(0)), 1,
+                                   F.col("part").cast("int")))
+    text = F.when(F.col("part").isNull(), field["text"]).otherwise(cut)
+    out = {**field, "text": text}
     if "n_chars" in docs.columns:
-        out = out.withColumn("n_chars", F.when(partial, F.length("text")).otherwise(F.col("n_chars"))
-                             .cast(docs.schema["n_chars"].dataType))
-    return out.select(*docs.columns)
+        out["n_chars"] = F.when(F.col("part").isNull(), field["n_chars"]).otherwise(F.length(cut)).cast(
+            docs.schema["n_chars"].dataType)
+    return copies.select(*[column.alias(name) for name, column in out.items()])

@@ -91,21 +91,27 @@ def text_stats(texts: list[bytes]) -> dict[str, np.ndarray]:
 
 
 def _stats_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Statistics of the text in the fourth column; the columns beside it are handed on."""
     for batch in batches:
         rows = zip(utf8(batch.column(3)), range(batch.num_rows), strict=True)
         for group in batches_of_bytes(rows):
             at = pa.array([i for _, i in group])
             stats = text_stats([t for t, _ in group])
+            names = batch.schema.names
+            beside = [k for k in range(len(names)) if k != 3]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(k).take(at) for k in range(3)] + [pa.array(v.astype(np.int64)) for v in stats.values()],
-                names=["doc_id", "lang", "source", *stats])
+                [batch.column(k).take(at) for k in beside[:3]] + [pa.array(v.astype(np.int64)) for v in stats.values()]
+                + [batch.column(k).take(at) for k in beside[3:]],
+                names=[*names[:3], *stats, *(names[k] for k in beside[3:])])
 
 
-def document_stats(docs: DataFrame) -> DataFrame:
-    """Word and line statistics of every document (``STATS_SCHEMA``)."""
+def document_stats(docs: DataFrame, whole_rows: bool = False) -> DataFrame:
+    """Word and line statistics of every document (``STATS_SCHEMA``), with the row itself as ``row`` on demand."""
     small_batches(docs.sparkSession)
+    row = [F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row")] if whole_rows else []
+    schema = STATS_SCHEMA + (f", row {docs.schema.simpleString()}" if whole_rows else "")
     return docs.select(F.col("doc_id").cast("long"), F.col("lang").cast("string"), F.col("source").cast("string"),
-                       text_column().alias("text")).mapInArrow(_stats_batches, STATS_SCHEMA)
+                       text_column().alias("text"), *row).mapInArrow(_stats_batches, schema)
 
 
 def base_failed() -> Column:
@@ -132,19 +138,20 @@ def _beyond(name: str, rules: Rules) -> Column:
     return (out | (rate < q[0] - spread)) if below else out
 
 
-def judged(stats: DataFrame, rules: Rules = Rules()) -> DataFrame:
-    """Statistics plus ``base_failed`` and ``kept``.
+def judged(stats: DataFrame, rules: Rules = Rules(), basis: DataFrame | None = None) -> DataFrame:
+    """Statistics plus ``base_failed`` and ``kept``; thresholds from ``basis`` (the same statistics by default).
 
     The threshold tables have a row per group, per language and one in all;
     their joins are left to the optimizer, which broadcasts them only below
     the session's size limit and otherwise splits hot groups (skew join).
     """
+    basis = stats if basis is None else basis
     out = (stats
-           .join(_fences(stats, ["lang", "source"], "g", rules),
+           .join(_fences(basis, ["lang", "source"], "g", rules),
                  F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source")), "left")
-           .join(_fences(stats, ["lang"], "l", rules), F.col("lang").eqNullSafe(F.col("l_lang")), "left")
+           .join(_fences(basis, ["lang"], "l", rules), F.col("lang").eqNullSafe(F.col("l_lang")), "left")
            # one row on the right: a single aggregate
-           .join(F.broadcast(_fences(stats, [], "a", rules)), F.lit(True), "left"))
+           .join(F.broadcast(_fences(basis, [], "a", rules)), F.lit(True), "left"))
     odd = reduce(lambda a, b: a | b, [F.coalesce(_beyond(name, rules), F.lit(False)) for name in RATES])
     return out.select(*stats.columns, base_failed().alias("base_failed"), (~base_failed() & ~odd).alias("kept"))
 
@@ -152,3 +159,12 @@ def judged(stats: DataFrame, rules: Rules = Rules()) -> DataFrame:
 def quality(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """Statistics and verdict of every document (one row per input row)."""
     return judged(materialize(document_stats(docs)), rules)
+
+
+def kept_rows(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
+    """The rows that the rules keep, all columns: each row is judged by itself, whatever its doc_id.
+
+    The thresholds come first, from the statistics alone; then one pass over the rows filters them.
+    """
+    basis = materialize(document_stats(docs))
+    return judged(document_stats(docs, whole_rows=True), rules, basis).where("kept").select("row.*")

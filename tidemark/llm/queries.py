@@ -41,7 +41,7 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("passes", "part")
+    return mixing.mix(read_table(spark, sf_dir, "documents")).drop("passes", "part", "key", "key2")
 
 
 def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

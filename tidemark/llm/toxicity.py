@@ -218,25 +218,30 @@ class Kernel:
 class Scorer:
     """Kernel rows of sentences; a worker keeps what it has learnt of tokens, up to ``LIMIT``."""
 
-    LIMIT = 300_000
+    LIMIT = 600_000
 
     def __init__(self, words: list[str], settings: Settings):
         self.kernel, self.s = Kernel(words, settings), settings
-        self.known: dict[str, list[tuple[int, float]] | None] = {}
+        self.known: dict[str, list[tuple[int, float]] | None] = {}  # of tokens as they stand
+        self.values: dict[str, list[tuple[int, float]] | None] = {}  # of their letters
 
     def learn(self, tokens: set[str]) -> None:
         new = tokens - self.known.keys()
         if len(self.known) + len(new) > self.LIMIT:
             self.known.clear()
+            self.values.clear()
             new = tokens
-        self.known.update(dict.fromkeys(new))
-        parts = [(t, x) for t in new for x in pieces(t, self.s.word)]
-        for lo in range(0, len(parts), 20_000):
-            some = parts[lo:lo + 20_000]
-            for i, k, v in zip(*(x.tolist() for x in self.kernel.rows([x for _, x in some])), strict=True):
-                if self.known[some[i][0]] is None:
-                    self.known[some[i][0]] = []
-                self.known[some[i][0]].append((k, v))
+        of = {t: pieces(t, self.s.word) for t in new}
+        fresh = sorted({x for xs in of.values() for x in xs} - self.values.keys())
+        for lo in range(0, len(fresh), 20_000):
+            some = fresh[lo:lo + 20_000]
+            self.values.update(dict.fromkeys(some))
+            for i, k, v in zip(*(x.tolist() for x in self.kernel.rows(some)), strict=True):
+                if self.values[some[i]] is None:
+                    self.values[some[i]] = []
+                self.values[some[i]].append((k, v))
+        for token, xs in of.items():
+            self.known[token] = [kv for x in xs for kv in self.values[x] or ()] or None
 
     def documents(self, texts: list[str]) -> list[list[np.ndarray]]:
         """For every text, the kernel rows of its sentences that have a word like a landmark;
@@ -269,12 +274,25 @@ class Scorer:
         return row
 
 
+_scorers: dict[tuple[Settings, tuple[str, ...]], Scorer] = {}
+
+
+def scorer_of(words: list[str], settings: Settings) -> Scorer:
+    """The worker's scorer of these landmarks, kept from task to task; one at a time."""
+    key = settings, tuple(words)
+    if key not in _scorers:
+        _scorers.clear()
+        _scorers[key] = Scorer(words, settings)
+    return _scorers[key]
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> DataFrame:
-    """doc_id, text, toxic of the sample: at most ``train_rows`` documents per class."""
+    """doc_id, text, toxic of the sample: at most ``train_rows`` documents per class, of rows that share a
+    doc_id the one with the least text."""
     marked = labels.select(F.col("doc_id").cast("long"), F.col("toxic").cast("int")).where(
         F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out())
     sample = None
@@ -285,7 +303,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, settings: Settings) -> Dat
     # at most 2 * train_rows rows of two numbers
     sample = F.broadcast(sample.select(F.col("doc_id").alias("_doc"), "toxic"))
     return (docs.select(F.col("doc_id").cast("long"), text_column().alias("text"))
-            .join(sample, F.col("doc_id") == F.col("_doc")).select("doc_id", "text", "toxic"))
+            .join(sample, F.col("doc_id") == F.col("_doc")).groupBy("doc_id", "toxic").agg(F.min("text").alias("text"))
+            .select("doc_id", "text", "toxic"))
 
 
 def landmark_words(rows: DataFrame, settings: Settings) -> list[str]:
@@ -334,7 +353,7 @@ def train(docs: DataFrame, labels: DataFrame, settings: Settings = Settings()) -
         return model
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(words, settings)
+        scorer = scorer_of(words, settings)
         none = np.zeros(len(words), np.float32)
         for batch in batches:
             # the sentences most like the landmarks stand for their document, a bounded number of rows
@@ -379,7 +398,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     small_batches(docs.sparkSession, 200)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        scorer = Scorer(model.words, model.settings) if len(model.weights) else None
+        scorer = scorer_of(model.words, model.settings) if len(model.weights) else None
         for batch in batches:
             scores, hits = [], []
             texts = batch.column(2).to_pylist()
