@@ -5,8 +5,11 @@ works on all of it. All but the last return the columns of ``documents``.
 ``run`` writes each stage's rows as Parquet below the shared checkpoint
 folder and hands on what it reads back.
 
-In the quality stage rows that share a doc_id share its fate, and a null doc_id counts as one
-id; near duplicates are decided row by row.
+Every stage decides row by row: rows that share a doc_id, or have none, are judged each by
+itself, and extra columns of any name are handed on. Null and empty texts fail the quality rules (too few
+words); of equal rows near_duplicates keeps one; very long texts are handled whole; an empty table
+stays empty. ``run`` needs the shared folder that ``spark.checkpoint.dir`` names, and leaves only the last
+stage's rows there.
 """
 
 from __future__ import annotations
@@ -15,20 +18,14 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from tidemark.llm import jaccard_join, mixing, packing, quality, secrets
 from tidemark.session import checkpoint_dir
 
 
-def _only(docs: DataFrame, ids: DataFrame) -> DataFrame:
-    """Rows of ``docs`` whose doc_id is among ``ids`` (column ``_kept``), columns unchanged."""
-    return docs.join(ids, F.col("doc_id").cast("long").eqNullSafe(F.col("_kept")), "left_semi").select(*docs.columns)
-
-
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
-    return _only(docs, quality.quality(docs).where("kept").select(F.col("doc_id").alias("_kept")))
+    return quality.kept_rows(docs)
 
 
 #: Near duplicates of the pipeline: five words, similarity 0.8 or more.
@@ -63,15 +60,27 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("sequence_packing", sequence_packing),
 ]
 
-#: Tokenization, quantile sketches and connected components are beyond SQL; the stages have brute-force tests.
+#: Tokenization, quantile sketches and connected components are beyond SQL; a test holds the stages against plain Python.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``."""
-    docs = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
-    folder = f"{checkpoint_dir(spark)}/pipeline-{uuid.uuid4().hex}"
+    shared = checkpoint_dir(spark)
+    if not shared:
+        raise RuntimeError("the pipeline writes its stages to a shared folder: set spark.checkpoint.dir")
+    docs, last = spark.read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), None
+    folder = f"{shared.rstrip('/')}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if last:
+            _remove(spark, last)
+        last = f"{folder}/{name}"
     return docs
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    """Delete a stage's folder that nothing reads any more, by the file system it is on."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
