@@ -276,4 +276,5 @@ def test_mwu_method_does_not_follow_size():
     assert mwu_p(2_100_000.0, 1, 2_100_000, 1.7, False) == pytest.approx(2 / 2_100_001)
     assert mwu_p(3.0, 2, 2, 1.0, False, "asymptotic") != mwu_p(3.0, 2, 2, 1.0, False, "exact")
     with pytest.raises(ValueError, match="asymptotic"):
-        mwu_p(1.0, 8, 10 ** 9, 0.0, False)
+        mwu_p(1.0, 8, 10 ** 9, 0.0, False, "exact")
+    assert mwu_p(1.0, 8, 10 ** 9, 2.0, False) == pytest.approx(2 * norm_sf(2.0))  # auto never raises

@@ -1,17 +1,20 @@
 """Distribution tails for test statistics.
 
-Statistics are computed by Spark aggregations; only the final tail
-probability of a one-row result is evaluated here, through Arrow-batched
-pandas UDFs. No scipy: the Student tail is a quotient of two
-integrals by double-exponential quadrature, the normal tail ``math.erfc``.
+Statistics are computed by Spark aggregations; the tail probabilities of a result
+row are column expressions too (``t_two_sided_col``, ``norm_two_sided_col``): an ``aggregate`` over the
+constant nodes of a double-exponential quadrature. Only the exact Mann-Whitney
+distribution of small samples runs in Python. No scipy; ``t_two_sided`` and
+``norm_sf`` are the same tails for plain numbers.
 """
 
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 
 import numpy as np
 import pandas as pd
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -96,29 +99,71 @@ def mwu_exact_sf(u: float, n1: int, n2: int) -> float:
     return sum(poly[max(k0, 0):]) / total
 
 
-@F.pandas_udf(T.DoubleType())
-def t_two_sided_udf(t: pd.Series, df: pd.Series) -> pd.Series:
-    """Two-sided Student p; an infinite t (no variance, different means) gives 0."""
-    return pd.Series([t_two_sided(a, b) if pd.notna(a) and (pd.notna(b) or math.isinf(a)) else None
-                      for a, b in zip(t, df)], dtype="float64")
+FOLDS = 60.0   # an integrand is followed until it has fallen by e**-FOLDS
+
+
+def _nodes() -> Column:
+    """Constant array of (at, weight): places in (0, 1) and weights that sum to 1."""
+    arc = np.pi / 2 * np.sinh(_STEPS)
+    at = 1 / (1 + np.exp(-2 * arc))
+    weight = np.pi / 4 * np.cosh(_STEPS) / np.cosh(arc) ** 2 * (_STEPS[1] - _STEPS[0])
+    keep = weight > 1e-18
+    return F.array(*[F.struct(F.lit(float(x)).alias("at"), F.lit(float(w)).alias("weight"))
+                     for x, w in zip(at[keep], weight[keep], strict=True)])
+
+
+def _integral(low: Column, high: Column, log_value: Callable[[Column], Column]) -> Column:
+    """Integral of exp(log_value(x)) from ``low`` to ``high``."""
+    total = F.aggregate(_nodes(), F.lit(0.0), lambda s, n: s + n["weight"] * F.exp(log_value(low + (high - low) * n["at"])))
+    return (high - low) * total
+
+
+def t_two_sided_col(t: Column, df: Column) -> Column:
+    """P(|T| >= |t|) for Student's t with ``df`` (1 or more) degrees of freedom.
+
+    With t = sqrt(df) tan(a) the tail is the integral of cos ** (df - 1) from a to pi / 2 over that
+    from 0. Both are taken relative to their first value and end where that has
+    fallen by ``FOLDS``, so the nodes serve every df. An infinite t gives 0, a NULL or NaN t NULL.
+    """
+    def log_cos(x: Column) -> Column:  # from the sine: small angles keep their digits
+        return F.greatest(0.5 * F.log1p(-F.least(F.sin(x) * F.sin(x), F.lit(1.0))), F.lit(-1e300))
+
+    def from_angle(a: Column) -> Column:
+        end = F.least(F.lit(math.pi / 2), F.sqrt(a * a + F.lit(2 * FOLDS) / F.greatest(df - 1, F.lit(1e-9))))
+        first = log_cos(a)
+        return _integral(a, end, lambda x: (df - 1) * (log_cos(x) - first))
+
+    angle = F.atan2(F.abs(t), F.sqrt(df))
+    p = F.exp((df - 1) * -0.5 * F.log1p(t * t / df)) * from_angle(angle) / from_angle(F.lit(0.0))
+    return (F.when(t.isNull() | F.isnan(t), F.lit(None).cast("double"))
+            .when(F.abs(t) == float("inf"), F.lit(0.0))
+            .when(df.isNull() | F.isnan(df) | (df < 1), F.lit(None).cast("double"))
+            .otherwise(F.least(F.lit(1.0), p)))
+
+
+def norm_two_sided_col(z: Column) -> Column:
+    """min(1, 2 P(Z >= z)) of a standard normal; NULL or NaN (no spread) gives 1."""
+    tail = _integral(z, F.sqrt(z * z + 2 * FOLDS), lambda x: (z * z - x * x) / 2)
+    p = F.exp(-z * z / 2) * tail * (2 / math.sqrt(2 * math.pi))
+    return F.when(z.isNull() | F.isnan(z) | (z <= 0), F.lit(1.0)).otherwise(F.least(F.lit(1.0), p))
 
 
 #: Products of sample sizes up to which the exact distribution is computed (one number per value of U).
-EXACT_PAIRS = 50_000_000
+EXACT_PAIRS = 4_000_000
 
 
 def mwu_p(u: float, n1: int, n2: int, z: float | None, has_ties: bool, method: str = "auto") -> float | None:
     """Two-sided Mann-Whitney p of max(U1, U2).
 
-    ``auto`` is exact when a sample has at most 8 values and there are no ties, and
-    the normal approximation otherwise; ``exact`` and ``asymptotic`` force one.
+    ``auto`` is exact when a sample has at most 8 values, there are no ties and the samples make at most
+    ``EXACT_PAIRS`` pairs, and the normal approximation otherwise; ``exact`` and ``asymptotic`` force one.
     Without any spread (all values tied) p is 1.
     """
     if method not in ("auto", "exact", "asymptotic"):
         raise ValueError(f"method {method!r}: auto, exact or asymptotic")
     if n1 == 0 or n2 == 0:
         return None
-    if method == "exact" or (method == "auto" and min(n1, n2) <= 8 and not has_ties):
+    if method == "exact" or (method == "auto" and min(n1, n2) <= 8 and not has_ties and n1 * n2 <= EXACT_PAIRS):
         if has_ties:
             raise ValueError("no exact Mann-Whitney distribution with ties; use method='asymptotic'")
         if n1 * n2 > EXACT_PAIRS:
@@ -128,12 +173,20 @@ def mwu_p(u: float, n1: int, n2: int, z: float | None, has_ties: bool, method: s
     return 1.0 if z is None or math.isnan(z) else min(1.0, 2.0 * norm_sf(z))
 
 
-def mwu_p_udf(u, n1, n2, z, has_ties, method: str = "auto"):
-    """``mwu_p`` as a column."""
+def mwu_p_col(u: Column, n1: Column, n2: Column, z: Column, has_ties: Column, method: str = "auto") -> Column:
+    """``mwu_p`` as a column: the normal tail is an expression, Python is asked only where an exact p may be due."""
+    if method not in ("auto", "exact", "asymptotic"):
+        raise ValueError(f"method {method!r}: auto, exact or asymptotic")
+    normal = F.when((n1 > 0) & (n2 > 0), norm_two_sided_col(z))
+    if method == "asymptotic":
+        return normal
+
     @F.pandas_udf(T.DoubleType())
-    def p(u: pd.Series, n1: pd.Series, n2: pd.Series, z: pd.Series, has_ties: pd.Series) -> pd.Series:
+    def exact(u: pd.Series, n1: pd.Series, n2: pd.Series, has_ties: pd.Series) -> pd.Series:
+        # rows for the approximation are left to it: they get nothing here
         return pd.Series([None if pd.isna(uu) or pd.isna(a) or pd.isna(b)
-                          else mwu_p(uu, a, b, None if pd.isna(zz) else zz, bool(ties), method)
-                          for uu, a, b, zz, ties in zip(u, n1, n2, z, has_ties)], dtype="float64")
+                          or method == "auto" and (min(a, b) > 8 or ties or a * b > EXACT_PAIRS)
+                          else mwu_p(uu, a, b, None, bool(ties), method)
+                          for uu, a, b, ties in zip(u, n1, n2, has_ties)], dtype="float64")
 
-    return p(u, n1, n2, z, has_ties)
+    return F.coalesce(exact(u, n1, n2, has_ties), normal)

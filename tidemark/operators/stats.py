@@ -1,8 +1,8 @@
 """Two-sample tests, bootstrap and histograms as Spark aggregations.
 
 Each test reduces its input to one row with a single aggregation (means and
-variances, rank sums, replicate sums); only the tail probability of that
-row goes through a pandas UDF. Test outputs carry ``n1``/``n2`` etc. for the
+variances, rank sums, replicate sums); the tail probability of that row is a
+column expression (the exact Mann-Whitney p of a small sample is Python). Test outputs carry ``n1``/``n2`` etc. for the
 ``first`` and ``second`` groups in the order given, like a two-sample call.
 """
 
@@ -13,7 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dist import mwu_p_udf, t_two_sided_udf
+from ..functions.dist import mwu_p_col, t_two_sided_col
 from ..functions.hashing import uniform_u32
 from ..functions.poisson import poisson_weight, poisson_weight_hex
 from ..session import default_parallelism
@@ -59,7 +59,7 @@ def welch_ttest(df: DataFrame, group_col: str, value_col: str, first, second,
                 alpha: float = ALPHA) -> DataFrame:
     """Welch's unequal-variance t-test, two-sided: the stats row plus p_value, significant."""
     st = welch_stats(df, group_col, value_col, first, second)
-    return (st.withColumn("p_value", t_two_sided_udf(F.col("t"), F.col("df")))
+    return (st.withColumn("p_value", t_two_sided_col(F.col("t"), F.col("df")))
             .withColumn("significant", verdict("p_value", alpha)))
 
 
@@ -101,12 +101,12 @@ def mann_whitney(df: DataFrame, group_col: str, value_col: str, first, second,
                  alpha: float = ALPHA, bins: int = 256, method: str = "auto") -> DataFrame:
     """Two-sided Mann-Whitney U: the stats row plus p_value, significant.
 
-    ``method='auto'``: exact when one sample has at most 8 values and there
-    are no ties, otherwise the normal approximation (as scipy's default);
+    ``method='auto'``: exact when one sample has at most 8 values, there
+    are no ties and at most ``dist.EXACT_PAIRS`` pairs, otherwise the normal approximation;
     'exact' or 'asymptotic' force one. All values tied: p is 1.
     """
     st = mwu_stats(df, group_col, value_col, first, second, bins)
-    p = mwu_p_udf(F.greatest("u1", "u2"), F.col("n1"), F.col("n2"), F.col("z"),
+    p = mwu_p_col(F.greatest("u1", "u2"), F.col("n1"), F.col("n2"), F.col("z"),
                   F.col("tie_term") > 0, method)
     return st.withColumn("p_value", p).withColumn("significant", verdict("p_value", alpha))
 
