@@ -40,3 +40,19 @@ def test_input_order_does_not_change_results(spark, baseline):
     users = experiment.user_ctr(shuffled, E.EXP_START, E.EXP_END)
     got = stats.mwu_stats(users, "exp_group", "ctr", E.TREATMENT, E.CONTROL)
     assert _rows(E._r6(got)) == baseline["mwu_ctr"]
+
+
+def test_segments_do_not_follow_partitions(spark):
+    from tidemark.operators import segments
+    rows = [(i, i * 7 % 50 + 0.25, i % 9 + 1, 100.0 * (i % 40) + i / 3, 10.0 + i % 13, 1.0 + i % 5, (i % 3) / 3)
+            for i in range(400)] + [(999, None, 1, 1.0, 1.0, 1.0, 0.0)]
+    df = spark.createDataFrame(rows, "custkey long, recency_days double, frequency long, monetary double, "
+                                     "avg_order_value double, avg_quantity double, peak_share double")
+    runs = [sorted(tuple(r) for r in segments.customer_segments(df.repartition(n), 4).collect()) for n in (1, 4, 37)]
+    assert [[x[:2] for x in r] for r in runs] == [[x[:2] for x in runs[0]]] * 3 and len(runs[0]) == 400
+    money = {s: [rows[c][3] for c, x, _ in runs[0] if x == s] for s in range(4)}
+    means = [sum(v) / len(v) for _, v in sorted(money.items())]
+    assert means == sorted(means)
+    same = spark.createDataFrame([(i, 1.0, 1, 1.0, 1.0, 1.0, 0.0) for i in range(5)], df.schema)
+    assert {tuple(r)[1:] for r in segments.customer_segments(same, 3).collect()} == {(0, 0.0)}
+    assert segments.customer_segments(df.limit(0), 3).count() == 0

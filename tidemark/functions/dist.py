@@ -108,8 +108,9 @@ def _nodes() -> Column:
     at = 1 / (1 + np.exp(-2 * arc))
     weight = np.pi / 4 * np.cosh(_STEPS) / np.cosh(arc) ** 2 * (_STEPS[1] - _STEPS[0])
     keep = weight > 1e-18
-    return F.array(*[F.struct(F.lit(float(x)).alias("at"), F.lit(float(w)).alias("weight"))
-                     for x, w in zip(at[keep], weight[keep], strict=True)])
+    # as text: one expression to parse instead of a call per node
+    return F.expr("array(" + ", ".join(f"named_struct('at', {float(x)!r}D, 'weight', {float(w)!r}D)"
+                                       for x, w in zip(at[keep], weight[keep], strict=True)) + ")")
 
 
 def _integral(low: Column, high: Column, log_value: Callable[[Column], Column]) -> Column:
