@@ -66,7 +66,7 @@ SPELLED = re.compile(r"(?<!\w)\w(?:[\s.*_-]\w){3,}(?!\w)")
 
 
 def letters(token: str) -> str:
-    return token.lower() if token.isalpha() else "".join(c for c in token.lower() if c.isalpha())
+    return token.lower() if token.isalpha() else "".join(filter(str.isalpha, token.lower()))
 
 
 def pieces(token: str, size: int) -> list[str]:
@@ -224,12 +224,13 @@ class Scorer:
         self.kernel, self.s = Kernel(words, settings), settings
         self.known: dict[str, list[tuple[int, float]] | None] = {}  # of tokens as they stand
         self.values: dict[str, list[tuple[int, float]] | None] = {}  # of their letters
+        self.ends: set[str] = set()  # tokens with the end of a sentence
 
     def learn(self, tokens: set[str]) -> None:
         new = tokens - self.known.keys()
         if len(self.known) + len(new) > self.LIMIT:
-            self.known.clear()
-            self.values.clear()
+            for learnt in (self.known, self.values, self.ends):
+                learnt.clear()
             new = tokens
         of = {t: pieces(t, self.s.word) for t in new}
         fresh = sorted({x for xs in of.values() for x in xs} - self.values.keys())
@@ -240,6 +241,7 @@ class Scorer:
                 if self.values[some[i]] is None:
                     self.values[some[i]] = []
                 self.values[some[i]].append((k, v))
+        self.ends.update(t for t in new if SENTENCE.search(t))
         for token, xs in of.items():
             self.known[token] = [kv for x in xs for kv in self.values[x] or ()] or None
 
@@ -253,13 +255,17 @@ class Scorer:
         for text, some, alone in zip(texts, tokens, spelled, strict=True):
             rows = []
             if any(known[t] for t in some):
-                # a token may end in a full stop: sentences are cut, tokens looked up as they stand
-                groups = [[]]
-                for token in text.split():
-                    groups[-1].append(token)
-                    if SENTENCE.search(token):
-                        groups.append([])
-                rows += [r for g in groups if (r := self._row(g)) is not None]
+                # only tokens like a landmark matter; two of them share a sentence if none from the
+                # first to before the second ends one
+                every = text.split()
+                at = [i for i, token in enumerate(every) if known[token]]
+                groups = [[every[at[0]]]]
+                for i, j in zip(at, at[1:]):
+                    if self.ends.isdisjoint(every[i:j]):
+                        groups[-1].append(every[j])
+                    else:
+                        groups.append([every[j]])
+                rows += [self._row(g) for g in groups]
             rows += [r for w in alone if (r := self._row([w])) is not None]
             out.append(rows)
         return out
