@@ -233,6 +233,58 @@ def test_grouped_bootstrap_same_distribution_and_partition_free(spark):
     assert a.std() == pytest.approx(c.std(), rel=0.1)
 
 
+def test_wide_thresholds_follow_the_distribution():
+    from tidemark.functions.poisson import poisson_thresholds, wide_thresholds
+    k0, ts = wide_thresholds(1)
+    plain = [t for t in poisson_thresholds() if t < 2**32 - 1]
+    assert k0 == 0 and all(abs(a - c) <= 1 for a, c in zip(ts, plain))
+    for lam in (2, 64, 4096, 1 << 16):
+        k0, ts = wide_thresholds(lam)
+        assert ts == sorted(ts) and 0 < ts[0] and ts[-1] < 2**32
+        # mean and variance from the tail sums of the table
+        tail = [1 - t / 2**32 for t in ts]
+        mean = k0 + sum(tail)
+        second = sum((2 * i + 1) * p for i, p in enumerate(tail)) - sum(tail) ** 2
+        assert mean == pytest.approx(lam, rel=1e-6) and second == pytest.approx(lam, rel=1e-4)
+
+
+def test_grouped_bootstrap_equals_plain_python(spark, monkeypatch):
+    """Every weight recomputed from its digest; top level lowered so that m passes it."""
+    import hashlib
+    from collections import Counter
+
+    from tidemark.functions import poisson
+    monkeypatch.setattr(poisson, "TOP_LEVEL", 3)
+    poisson._levels.cache_clear()
+    rows = [(1 + (i % 2), i, i % 2, 2 + i % 3) for i in range(200)] + [(1, 900, 0, 0), (3, 901, 5, 9)]
+    users = spark.createDataFrame(rows, "exp_group int, user_id long, likes long, views long")
+    b, seed = 10, 7
+    got = {r["b"]: (r["ctr1"], r["ctr2"]) for r in
+           stats.poisson_bootstrap(users, b, seed, method="grouped").collect()}
+    poisson._levels.cache_clear()
+    sums = {(r, g): [0, 0] for r in range(b) for g in (1, 2)}
+    for (g, likes, views), m in Counter((g, x, v) for g, _, x, v in rows if g in (1, 2)).items():
+        parts = [(j, 1) for j in range(3) if m >> j & 1]
+        parts += [(3, c) for c in range(1, (m >> 3) + 1)]
+        assert sum(1 << j for j, _ in parts) == m
+        for j, c in parts:
+            k0, ts = poisson.wide_thresholds(1 << j)
+            for r in range(b):
+                h = hashlib.md5(f"{g}:{likes}:{views}:{j}:{c}:{r // 4}:{seed}".encode()).hexdigest()
+                x = int(h[8 * (r % 4):8 * (r % 4) + 8], 16)
+                w = k0 + sum(t <= x for t in ts)
+                sums[r, g][0] += w * likes
+                sums[r, g][1] += w * views
+    assert set(got) == set(range(b))
+    for r in range(b):
+        assert got[r] == tuple(pytest.approx(sums[r, g][0] / sums[r, g][1]) for g in (1, 2))
+
+
+def test_grouped_bootstrap_without_users(spark):
+    none = spark.createDataFrame([], "exp_group int, user_id long, likes long, views long")
+    assert stats.poisson_bootstrap(none, 8, method="grouped").collect() == []
+
+
 def test_xxhash64_paths_are_deterministic_and_in_range(spark):
     users = spark.createDataFrame(
         [(1 + (i % 2), i, i % 4, 1 + i % 5) for i in range(120)],

@@ -15,7 +15,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dist import mwu_p_col, t_two_sided_col
 from ..functions.hashing import uniform_u32
-from ..functions.poisson import poisson_weight, poisson_weight_hex
+from ..functions.poisson import (level_draw, poisson_levels, poisson_weight, poisson_weight_hex,
+                                 split_mean)
 from ..session import default_parallelism
 from .ranks import exact_quantiles, value_prefix
 
@@ -113,27 +114,43 @@ def mann_whitney(df: DataFrame, group_col: str, value_col: str, first, second,
 
 # ------------------------------------------------------------ Poisson bootstrap
 
-def _grouped_kernel(b: int, seed: int, first, second, group_col: str):
-    """mapInPandas body: Poisson(m) weights for each (arm, likes, views)
-    pattern of m users, reduced to per-replicate partial sums per batch."""
-    import numpy as np
-    import pandas as pd
-
-    def run(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            acc = np.zeros((4, b), dtype=np.int64)
-            for g, likes, views, m in zip(pdf[group_col], pdf["likes"], pdf["views"], pdf["m"]):
-                slot = 0 if g == first else 2
-                # seeded by the pattern itself: the same weights on any partitioning
-                rng = np.random.default_rng([seed, int(g), int(likes), int(views)])
-                w = rng.poisson(float(m), size=b)
-                acc[slot] += w * int(likes)
-                acc[slot + 1] += w * int(views)
-            yield pd.DataFrame({"b": np.arange(b, dtype=np.int32), "l1": acc[0], "v1": acc[1],
-                                "l2": acc[2], "v2": acc[3]})
-    return run
+def _grouped_replicates(users: DataFrame, b: int, seed: int, first, second,
+                        group_col: str) -> DataFrame:
+    """(group, likes, views, b, w): the replicate weights of every (group, likes, views) pattern.
+
+    A pattern of m users needs Poisson(m) weights. It is split into its binary
+    levels first, so also one pattern with most users spreads over tasks; each
+    piece draws its ``b`` weights inside one row (the thresholds are read in
+    place, not copied per replicate).
+    """
+    par = default_parallelism(users.sparkSession)
+    patterns = (users.where(F.col(group_col).isin(first, second))
+                .groupBy(group_col, "likes", "views").agg(F.count(F.lit(1)).alias("m")))
+    pieces = (patterns.select(group_col, "likes", "views", F.inline(split_mean("m")))
+              .select(group_col, "likes", "views", "j",
+                      F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("c"))
+              .repartition(par))
+    key = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit("null"))
+                             for c in (group_col, "likes", "views", "j", "c")])
+    keyed = pieces.join(F.broadcast(poisson_levels(users.sparkSession)), "j").withColumn("key", key)
+    draw = level_draw("substring(h, 8 * i + 1, 8)")
+    weights = F.expr(f"""slice(flatten(transform(sequence(0, {(b - 1) // 4}), k ->
+        flatten(transform(array(md5(concat_ws(':', key, k, '{seed}'))), h ->
+            transform(array(0, 1, 2, 3), i -> {draw}))))), 1, {b})""")
+    return keyed.select(group_col, "likes", "views", F.posexplode(weights).alias("b", "w"))
+
+
+def _replicate_ctr(rep: DataFrame, g, first, second) -> DataFrame:
+    sums = rep.groupBy("b").agg(
+        F.sum(F.when(g == first, F.col("w") * F.col("likes"))).alias("l1"),
+        F.sum(F.when(g == first, F.col("w") * F.col("views"))).alias("v1"),
+        F.sum(F.when(g == second, F.col("w") * F.col("likes"))).alias("l2"),
+        F.sum(F.when(g == second, F.col("w") * F.col("views"))).alias("v2"))
+    return (sums.select("b",
+                        F.try_divide(F.col("l1"), F.col("v1")).alias("ctr1"),
+                        F.try_divide(F.col("l2"), F.col("v2")).alias("ctr2"))
+            .withColumn("diff", F.col("ctr2") - F.col("ctr1"))
+            .orderBy("b"))
 
 
 def poisson_bootstrap(users: DataFrame, b: int = 5000, seed: int = 0, first=1, second=2,
@@ -160,34 +177,24 @@ def poisson_bootstrap(users: DataFrame, b: int = 5000, seed: int = 0, first=1, s
     ``method='grouped'`` draws the same distribution with far less work:
     the statistic only depends on each user's (likes, views), and the sum of
     m independent Poisson(1) weights is Poisson(m), so users with the same
-    (arm, likes, views) are merged into one pattern of multiplicity m and get
-    one Poisson(m) weight per replicate. The work then grows with the number
-    of distinct patterns, not users; weights come from numpy generators
-    seeded by (seed, pattern), so results still do not depend on
-    partitioning. Its replicates differ from the per-user hash draws (same
+    (arm, likes, views) are merged into one pattern of multiplicity m. m is
+    written in binary and each set bit j draws one Poisson(2**j) weight per
+    replicate, by inverse CDF from the 32-bit slices of
+    md5('arm:likes:views:j:c:k:seed') (c counts the units of the top level).
+    The work then grows with the number of distinct patterns, not users. It
+    stays in column expressions, does not depend on partitioning and any SQL
+    engine reproduces it. Its replicates differ from the per-user draws (same
     distribution, different realisation).
     """
     g = F.col(group_col)
-    par = default_parallelism(users.sparkSession)
     if method == "grouped":
-        patterns = (users.where(g.isin(first, second))
-                    .groupBy(group_col, "likes", "views")
-                    .agg(F.count(F.lit(1)).alias("m"))
-                    .repartition(par))
-        partial = patterns.mapInPandas(
-            _grouped_kernel(b, seed, first, second, group_col),
-            "b int, l1 long, v1 long, l2 long, v2 long")
-        sums = partial.groupBy("b").agg(*[F.sum(c).alias(c) for c in ("l1", "v1", "l2", "v2")])
-        return (sums.select("b",
-                            F.try_divide(F.col("l1"), F.col("v1")).alias("ctr1"),
-                            F.try_divide(F.col("l2"), F.col("v2")).alias("ctr2"))
-                .withColumn("diff", F.col("ctr2") - F.col("ctr1"))
-                .orderBy("b"))
+        return _replicate_ctr(_grouped_replicates(users, b, seed, first, second, group_col),
+                              g, first, second)
     if method != "per_user":
         raise ValueError(f"unknown method {method!r}")
     spread = (users.where(g.isin(first, second))
               .select(group_col, "user_id", "likes", "views")
-              .repartition(par))
+              .repartition(default_parallelism(users.sparkSession)))
     if hash_method == "md5":
         # one digest per block of 4 replicates: its four 32-bit slices are the
         # uniforms of replicates 4k .. 4k+3 (a quarter of the hashing work)
@@ -206,16 +213,7 @@ def poisson_bootstrap(users: DataFrame, b: int = 5000, seed: int = 0, first=1, s
         rep = (spread.select("*", F.explode(F.sequence(F.lit(0), F.lit(b - 1))).alias("b"))
                .withColumn("w", poisson_weight(
                    uniform_u32("user_id", "b", F.lit(seed), method=hash_method))))
-    sums = rep.groupBy("b").agg(
-        F.sum(F.when(g == first, F.col("w") * F.col("likes"))).alias("l1"),
-        F.sum(F.when(g == first, F.col("w") * F.col("views"))).alias("v1"),
-        F.sum(F.when(g == second, F.col("w") * F.col("likes"))).alias("l2"),
-        F.sum(F.when(g == second, F.col("w") * F.col("views"))).alias("v2"))
-    return (sums.select("b",
-                        F.try_divide(F.col("l1"), F.col("v1")).alias("ctr1"),
-                        F.try_divide(F.col("l2"), F.col("v2")).alias("ctr2"))
-            .withColumn("diff", F.col("ctr2") - F.col("ctr1"))
-            .orderBy("b"))
+    return _replicate_ctr(rep, g, first, second)
 
 
 def bootstrap_ci(reps: DataFrame, level: float = 0.95, col: str = "diff") -> DataFrame:
