@@ -16,6 +16,7 @@ from pyspark.sql import SparkSession
 
 from .plans import report
 from .plans.experiment_report import experiment_report
+from .plans.publish import publish_report
 from .session import apply_cluster_conf
 from .sources import read_feed_actions, read_message_actions
 
@@ -30,6 +31,7 @@ def _parser() -> argparse.ArgumentParser:
     d.add_argument("--out", required=True)
     d.add_argument("--store", help="rollup store written by append-rollups")
     d.add_argument("--format", default="parquet")
+    d.add_argument("--publish", action="store_true", help="all tables become visible together")
     bf = sub.add_parser("backfill")
     bf.add_argument("--feed", required=True)
     bf.add_argument("--messages", required=True)
@@ -38,6 +40,7 @@ def _parser() -> argparse.ArgumentParser:
     bf.add_argument("--out", required=True)
     bf.add_argument("--store")
     bf.add_argument("--format", default="parquet")
+    bf.add_argument("--publish", action="store_true")
     a = sub.add_parser("append-rollups")
     a.add_argument("--feed", required=True)
     a.add_argument("--messages", required=True)
@@ -67,10 +70,10 @@ def main(argv=None) -> int:
         msgs = read_message_actions(spark, args.messages, args.format)
         rollups = report.read_rollups(spark, args.store) if args.store else {}
         tables = report.daily_report(feed, msgs, args.as_of, **rollups)
-        report.write_report(tables, args.out, args.as_of)
+        (publish_report if args.publish else report.write_report)(tables, args.out, args.as_of)
     elif args.cmd == "backfill":
         msgs = read_message_actions(spark, args.messages, args.format)
-        report.backfill(feed, msgs, args.start, args.end, args.out, args.store)
+        report.backfill(feed, msgs, args.start, args.end, args.out, args.store, args.publish)
     elif args.cmd == "append-rollups":
         msgs = read_message_actions(spark, args.messages, args.format)
         report.append_rollups(feed, msgs, args.start, args.end, args.store)

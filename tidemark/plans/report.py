@@ -11,12 +11,14 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, time_between
 from ..operators import activity, audience, retention
 from ..session import materialize, reuse
+from .publish import publish_report
 
 # Fixed caption text of the report message (values that must match the
 # original report's wording and layout).
@@ -70,7 +72,8 @@ def append_rollups(feed: DataFrame, messages: DataFrame, start, end, store: str)
 
     Each day reads only its own events (pushed-down time bounds) and replaces
     its own partition folder, also when nothing is left of it, so a daily job
-    appends yesterday and a re-run or late data rewrites the same days.
+    appends yesterday and a re-run or late data rewrites the same days. The
+    first-seen state of the feed's users is brought along.
     """
     day, e = as_date(start), as_date(end)
     while day < e:
@@ -82,12 +85,59 @@ def append_rollups(feed: DataFrame, messages: DataFrame, start, end, store: str)
                  "post_days": activity.post_days(f)}
         for name, df in parts.items():
             df.drop("day").write.mode("overwrite").parquet(f"{store.rstrip('/')}/{name}/day={day.isoformat()}")
+        _fold_first_seen(feed.sparkSession, store, day)
         day = until
 
 
+def _stored(spark, store: str, name: str) -> DataFrame | None:
+    """A folder of the store, or None before its first day."""
+    try:
+        return spark.read.parquet(f"{store.rstrip('/')}/{name}")
+    except AnalysisException as e:
+        if e.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
+
+def _fold_first_seen(spark, store: str, day: dt.date) -> None:
+    """Bring the (user_id, start_day) state up to date with the stored rollup of ``day``.
+
+    The state is partitioned by day: ``first_seen/day=D`` holds users active on
+    D that no earlier day holds, so a new day reads the state's user ids and
+    its own rollup, never the event history. A day may come late or again: its
+    folder is replaced, users it adds are right because readers take the least
+    day per user, and users it no longer holds move to their next stored day
+    before the replacement (so a run killed in between loses none).
+    """
+    base = f"{store.rstrip('/')}/first_seen"
+    d = F.lit(day.isoformat()).cast("date")
+    days = _stored(spark, store, "feed_days")
+    active = days.where(F.col("day") == d).select("user_id").distinct()
+    state = _stored(spark, store, "first_seen")
+    if state is None:
+        fresh = active
+    else:
+        gone = (state.where(F.col("day") == d).select("user_id").distinct()
+                .join(active, "user_id", "left_anti"))
+        moved = (days.where(F.col("day") > d).select("user_id", "day").join(gone, "user_id", "left_semi")
+                 .groupBy("user_id").agg(F.min("day").alias("day")))
+        moved.write.mode("append").partitionBy("day").parquet(base)
+        fresh = active.join(state.where(F.col("day") < d).select("user_id"), "user_id", "left_anti")
+    fresh.write.mode("overwrite").parquet(f"{base}/day={day.isoformat()}")
+
+
 def read_rollups(spark, store: str) -> dict[str, DataFrame]:
-    """The stored rollups; filters on ``day`` prune day partitions."""
-    return {name: spark.read.parquet(f"{store.rstrip('/')}/{name}") for name in ROLLUPS}
+    """The stored rollups, filters on ``day`` prune day partitions, and ``first_seen``.
+
+    ``first_seen`` has user_id and start_day, possibly several rows a user
+    (late days); its least start_day counts. It is absent from a store
+    written before it was kept.
+    """
+    out = {name: spark.read.parquet(f"{store.rstrip('/')}/{name}") for name in ROLLUPS}
+    state = _stored(spark, store, "first_seen")
+    if state is not None:
+        out["first_seen"] = state.select("user_id", F.col("day").alias("start_day"))
+    return out
 
 
 def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
@@ -101,7 +151,8 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
     (``append_rollups`` / ``read_rollups``); then only the day before
     ``as_of`` is read from the events. Otherwise the user rollups are built
     from the events up to the end of ``as_of`` and materialized once. A
-    stored ``first_seen`` table lets retention read only its cohort window.
+    stored ``first_seen`` state lets retention read only its cohort window of
+    the rollup; days after ``as_of`` are left out and a user's least day counts.
     The four tables that also feed a matrix are persisted; call
     ``unpersist()`` on the returned frames once they are written.
     """
@@ -115,6 +166,9 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
         msg_days = materialize(activity.user_days(messages, end, by_source=False))
     else:
         msg_days = msg_days.where(F.col("day") < F.lit(end.isoformat()).cast("date"))
+    if first_seen is not None:
+        first_seen = (first_seen.where(F.col("start_day") < F.lit(end.isoformat()).cast("date"))
+                      .groupBy("user_id").agg(F.min("start_day").alias("start_day")))
     posts = (activity.unique_posts_per_day(feed, a) if post_days is None
              else activity.unique_posts_from_days(post_days, a))
     feed_m = activity.feed_metrics(feed, a)
@@ -155,12 +209,13 @@ def write_report(tables: dict[str, DataFrame], path: str, as_of, fmt: str = "par
 
 
 def backfill(feed: DataFrame, messages: DataFrame, start, end, path: str,
-             store: str | None = None) -> list[str]:
+             store: str | None = None, publish: bool = False) -> list[str]:
     """Report tables for every run day in ``[start, end)``, written under ``path``.
 
     Each day is an independent, idempotent run (its own ``as_of`` partition),
     so a failed day can be re-run alone. With a rollup ``store`` the days
-    read the stored rollups instead of the event history.
+    read the stored rollups instead of the event history. With ``publish`` a
+    day's tables become visible together (``publish.read_report``).
     """
     s, e = as_date(start), as_date(end)
     rollups = read_rollups(feed.sparkSession, store) if store else {}
@@ -168,7 +223,7 @@ def backfill(feed: DataFrame, messages: DataFrame, start, end, path: str,
     day = s
     while day < e:
         tables = daily_report(feed, messages, day, **rollups)
-        write_report(tables, path, day)
+        (publish_report if publish else write_report)(tables, path, day)
         for df in tables.values():      # release the day's cached shared tables
             df.unpersist()
         done.append(day.isoformat())
