@@ -10,10 +10,11 @@ partial week; gone is not reported for the week after the current one.
 Plan. The scan is cut to ``[Monday(as_of) - (weeks + 1) weeks, as_of]``
 (one extra week decides retained/gone for the first reported week) on the raw
 ``time`` column, so it prunes at the Parquet level. Each user's active weeks
-are folded into a bitmask with ``bit_or``: one shuffle by ``user_id``,
+are folded into bitmask words with ``bit_or``: one shuffle by ``user_id``,
 map-side partial aggregation, one fixed-width row per user however hot the
-user is. Users are then counted per distinct mask (at most 2^(weeks+2)
-patterns, partially aggregated per task); each pattern is expanded to its
+user is. Users are then counted per distinct (word, mask): at most
+2^(weeks+2) patterns for up to 15 weeks and 2^17 per 16 weeks beyond,
+partially aggregated per task; each pattern is expanded to its
 (week, status) pairs and summed, so the status step runs on a tiny table.
 """
 
@@ -24,14 +25,15 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.bits import WORD, fold, is_set, n_words, unfold
 from ..functions.dates import as_date, monday, time_between
 
 STATUSES = ("gone", "new", "retained")
 
 
 def _scan_range(as_of, weeks: int):
-    if not 1 <= weeks <= 60:
-        raise ValueError("weeks must be in 1..60 (one bit per week in a bigint)")
+    if weeks < 1:
+        raise ValueError("weeks must be at least 1")
     first = monday(as_of) - dt.timedelta(weeks=weeks + 1)     # bit 0
     end = as_date(as_of) + dt.timedelta(days=1)               # the whole as_of day
     return first, end
@@ -48,22 +50,23 @@ def _week_counts(feed: DataFrame, as_of, weeks: int, from_days: bool = False) ->
             "user_id", F.to_date("time").alias("d"))
     bit = F.floor(F.datediff(F.trunc("d", "week"),
                              F.lit(first.isoformat()).cast("date")) / 7).cast("int")
+    # statuses 1 .. weeks + 1; a word also holds the last week of the word before
+    words = n_words(weeks + 1)
     masks = (src.select("user_id", bit.alias("k"))
-             .groupBy("user_id").agg(F.bit_or(F.expr("shiftleft(1L, k)")).alias("mask")))
-    # users per activity pattern: at most 2^(weeks+2) keys, so the status
+             .groupBy("user_id").agg(*fold(F.col("k"), words, overlap=1)))
+    # users per activity pattern: a bounded number of keys, so the status
     # step below runs on a tiny table whatever the number of users
-    patterns = masks.groupBy("mask").agg(F.count(F.lit(1)).alias("users"))
-    cur = F.expr("(shiftright(mask, j) & 1) = 1")
-    prev = F.expr("(shiftright(mask, j - 1) & 1) = 1")
+    patterns = masks.select(unfold(words)).groupBy("word", "mask").agg(F.count(F.lit(1)).alias("users"))
+    cur, prev = is_set("mask", F.col("i")), is_set("mask", F.col("i") - 1)
     status = (F.when(cur & prev, F.lit("retained"))
               .when(cur, F.lit("new"))
               .when(prev, F.lit("gone")))
     first_lit = F.lit(first.isoformat()).cast("date")
     return (patterns
-            .select("users", "mask",
-                    F.explode(F.sequence(F.lit(1), F.lit(weeks + 1))).alias("j"))
-            .select("users", "j", status.alias("status"))
-            .where(F.col("status").isNotNull())
+            .select("users", "word", "mask",
+                    F.explode(F.sequence(F.lit(1), F.lit(min(WORD, weeks + 1)))).alias("i"))
+            .select("users", (F.col("word") * WORD + F.col("i")).alias("j"), status.alias("status"))
+            .where(F.col("status").isNotNull() & (F.col("j") <= weeks + 1))
             .groupBy("j", "status").agg(F.sum("users").alias("n"))
             .select(F.date_add(first_lit, F.col("j") * 7).alias("this_week"),
                     F.date_add(first_lit, (F.col("j") - 1) * 7).alias("previous_week"),

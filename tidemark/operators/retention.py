@@ -6,9 +6,9 @@ each later day through ``as_of`` itself (the run day's data counts), how many
 of them were active and which percent of the cohort that is.
 
 Plan. One aggregation per user gives both the first day (``min``) and a
-bitmask of the days active inside ``[as_of - cohorts, as_of]`` (``bit_or``):
+bitmask words of the days active inside ``[as_of - cohorts, as_of]`` (``bit_or``):
 one shuffle by ``user_id`` with map-side partial aggregation and a
-fixed-width row per user. Users are counted per (start_day, mask) pattern;
+fixed-width row per user. Users are counted per (start_day, word, mask) pattern;
 each pattern is expanded to its active days and summed per (cohort, day).
 The cohort size is the day-0 count (every member is active on its first
 day), so no join with a cohort-size table is needed. The first day needs
@@ -23,6 +23,7 @@ import datetime as dt
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.bits import WORD, fold, is_set, n_words, unfold
 from ..functions.dates import as_date, time_between
 
 
@@ -55,8 +56,8 @@ def first_seen_update(first_seen: DataFrame, feed: DataFrame, day) -> DataFrame:
 
 def _cohort_counts(feed: DataFrame, as_of, cohorts: int, from_days: bool = False,
                    first_seen: DataFrame | None = None) -> tuple[DataFrame, dt.date]:
-    if not 1 <= cohorts <= 60:
-        raise ValueError("cohorts must be in 1..60")
+    if cohorts < 1:
+        raise ValueError("cohorts must be at least 1")
     a = as_date(as_of)
     lo = a - dt.timedelta(days=cohorts)
     lo_lit = F.lit(lo.isoformat()).cast("date")
@@ -68,29 +69,30 @@ def _cohort_counts(feed: DataFrame, as_of, cohorts: int, from_days: bool = False
     else:
         src = feed.where(time_between(feed, start, end)).select(
             "user_id", F.to_date("time").alias("day"))
-    day_bit = F.expr(f"shiftleft(1L, datediff(day, DATE'{lo}'))")
+    words = n_words(cohorts + 1)
+    masks = fold(F.datediff("day", lo_lit), words)       # days before the window are in no word
     in_window = (F.col("start_day") >= lo_lit) & (F.col("start_day") < F.lit(a.isoformat()).cast("date"))
     if first_seen is None:
         users = (src.select("user_id", "day")
                  .groupBy("user_id")
-                 .agg(F.min("day").alias("start_day"),
-                      F.bit_or(F.when(F.col("day") >= lo_lit, day_bit)).alias("mask"))
+                 .agg(F.min("day").alias("start_day"), *masks)
                  .where(in_window))
     else:
         # stored first days: only the cohort window of activity is read, and it is
-        # one mask per user before the join, so a hot user is one row there
+        # one row of masks per user before the join, so a hot user is one row there
         cohort = first_seen.select("user_id", "start_day").where(in_window)
-        recent = (src.where(F.col("day") >= lo_lit)
-                  .groupBy("user_id").agg(F.bit_or(day_bit).alias("mask")))
+        recent = src.where(F.col("day") >= lo_lit).groupBy("user_id").agg(*masks)
         users = cohort.join(recent, "user_id")
 
-    # users per (start_day, activity pattern): at most cohorts * 2^(cohorts+1) keys
-    patterns = users.groupBy("start_day", "mask").agg(F.count(F.lit(1)).alias("users"))
+    # users per (start_day, activity pattern): at most cohorts * 2^16 keys per word of 16 days
+    patterns = (users.select("start_day", unfold(words))
+                .groupBy("start_day", "word", "mask").agg(F.count(F.lit(1)).alias("users")))
     active = (patterns
-              .select("start_day", "mask", "users",
-                      F.explode(F.sequence(F.lit(0), F.lit(cohorts))).alias("i"))
-              .where(F.expr("(shiftright(mask, i) & 1) = 1"))
-              .groupBy("start_day", "i").agg(F.sum("users").alias("active_users")))
+              .select("start_day", "word", "mask", "users",
+                      F.explode(F.sequence(F.lit(0), F.lit(min(WORD, cohorts + 1) - 1))).alias("bit"))
+              .where(is_set("mask", F.col("bit")))
+              .groupBy("start_day", (F.col("word") * WORD + F.col("bit")).alias("i"))
+              .agg(F.sum("users").alias("active_users")))
     return active, lo
 
 
