@@ -215,11 +215,27 @@ def new_users_by_source(feed: DataFrame, until=None) -> DataFrame:
     return new_users_from_days(user_days(feed, until, by_source=True))
 
 
+def new_users_map(new_users: DataFrame) -> DataFrame:
+    """this_day, users: a map from traffic source to new users.
+
+    The matrix for sources that are not known beforehand: one plan without a
+    job that looks for them, and no limit on their number. A day's map holds
+    one entry per source; a null source has the key ''.
+    """
+    pair = F.struct(F.coalesce(F.col("source"), F.lit("")).alias("key"), F.col("num_users").alias("value"))
+    per_key = (new_users.select("this_day", F.inline(F.array(pair)))
+               .groupBy("this_day", "key").agg(F.sum("value").alias("value")))
+    return (per_key.groupBy("this_day")
+            .agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("key", "value")))).alias("users"))
+            .orderBy("this_day"))
+
+
 def new_users_matrix(new_users: DataFrame, sources=None) -> DataFrame:
     """Day x traffic-source matrix of ``new_users_by_source``.
 
     Without ``sources`` Spark finds the distinct sources itself (one small
-    job, capped by ``spark.sql.pivotMaxValues``).
+    job, capped by ``spark.sql.pivotMaxValues``); ``new_users_map`` needs
+    neither the list nor that job.
     """
     g = new_users.groupBy("this_day")
     g = g.pivot("source", list(sources)) if sources is not None else g.pivot("source")

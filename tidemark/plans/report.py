@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, time_between
-from ..operators import activity, audience, retention
+from ..operators import activity, audience, retention, sketches
 from ..session import materialize, reuse
 from .publish import publish_report
 
@@ -65,6 +65,7 @@ def report_message(feed_m: DataFrame, msg_m: DataFrame) -> DataFrame:
 
 
 ROLLUPS = ("feed_days", "msg_days", "post_days")
+SKETCHES = "feed_sketches"
 
 
 def append_rollups(feed: DataFrame, messages: DataFrame, start, end, store: str) -> None:
@@ -82,7 +83,8 @@ def append_rollups(feed: DataFrame, messages: DataFrame, start, end, store: str)
         m = messages.where(time_between(messages, day, until))
         parts = {"feed_days": activity.user_days(f, by_source=True),
                  "msg_days": activity.user_days(m, by_source=False),
-                 "post_days": activity.post_days(f)}
+                 "post_days": activity.post_days(f),
+                 SKETCHES: sketches.daily_sketches(f)}
         for name, df in parts.items():
             df.drop("day").write.mode("overwrite").parquet(f"{store.rstrip('/')}/{name}/day={day.isoformat()}")
         _fold_first_seen(feed.sparkSession, store, day)
@@ -126,6 +128,11 @@ def _fold_first_seen(spark, store: str, day: dt.date) -> None:
     fresh.write.mode("overwrite").parquet(f"{base}/day={day.isoformat()}")
 
 
+def read_sketches(spark, store: str) -> DataFrame:
+    """The stored (day, source) sketches, for ``sketches.range_uniques`` and ``trailing_uniques``."""
+    return spark.read.parquet(f"{store.rstrip('/')}/{SKETCHES}")
+
+
 def read_rollups(spark, store: str) -> dict[str, DataFrame]:
     """The stored rollups, filters on ``day`` prune day partitions, and ``first_seen``.
 
@@ -144,7 +151,8 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
                  cohorts: int = 7, feed_days: DataFrame | None = None,
                  msg_days: DataFrame | None = None,
                  post_days: DataFrame | None = None,
-                 first_seen: DataFrame | None = None) -> dict[str, DataFrame]:
+                 first_seen: DataFrame | None = None,
+                 sources: list[str] | None = None) -> dict[str, DataFrame]:
     """All report tables for run day ``as_of``.
 
     ``feed_days`` / ``msg_days`` / ``post_days`` may come from a rollup store
@@ -153,7 +161,8 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
     from the events up to the end of ``as_of`` and materialized once. A
     stored ``first_seen`` state lets retention read only its cohort window of
     the rollup; days after ``as_of`` are left out and a user's least day counts.
-    The four tables that also feed a matrix are persisted; call
+    With ``sources`` the new-user matrix has these columns and needs no job
+    that looks for them. The four tables that also feed a matrix are persisted; call
     ``unpersist()`` on the returned frames once they are written.
     """
     a = as_date(as_of)
@@ -188,7 +197,7 @@ def daily_report(feed: DataFrame, messages: DataFrame, as_of, weeks: int = 8,
         "actions": activity.actions_from_days(feed_days, msg_days, a),
         "posts": posts,
         "new_users": new_users,
-        "new_users_matrix": activity.new_users_matrix(new_users),
+        "new_users_matrix": activity.new_users_matrix(new_users, sources),
         "audience": aud,
         "audience_matrix": audience.weekly_audience_matrix(aud),
         "retention": ret,
