@@ -6,7 +6,7 @@ task, so ordered statistics are computed in two levels instead:
 
 1. Rows are compressed to one row per distinct ``(keys, value)`` with counts
    (a normal, partially aggregated shuffle).
-2. Values are cut into equi-depth bins with splits from ``approxQuantile``
+2. Values are cut into equi-depth bins with splits from ``percentile_approx``
    (a few hundred numbers) and ``Bucketizer`` (binary search in the JVM).
    Bin totals (``keys x bins`` rows) get their prefix sums with a window over
    that small table; rows inside one bin get theirs with a window partitioned
@@ -15,8 +15,9 @@ task, so ordered statistics are computed in two levels instead:
 
 The splits only decide how evenly work is spread; the results are exact
 whatever they are. ``d`` is materialized first, so the split job and the
-main job read the same rows; the number of bins grows with the number of
-distinct values (about ``ROWS_PER_BIN`` per bin).
+main job read the same rows. Bins that hold more than ``ROWS_PER_BIN`` distinct
+values of one key are cut again, as often as needed, so no within-bin window
+grows with the data.
 """
 
 from __future__ import annotations
@@ -29,28 +30,48 @@ from ..session import broadcast_if_small, materialize
 
 DEFAULT_BINS = 256
 ROWS_PER_BIN = 1_000_000      # target distinct values per within-bin window
-MAX_BINS = 100_000
+CUTS = 256                    # parts an overfull bin is cut into at a time
+BIN_STEP = 1024               # bin numbers left free for them
 
 
-def _splits(d: DataFrame, value: str, bins: int) -> list[float]:
-    """Equi-depth split points for at least ``bins`` bins (more when the
-    number of distinct values needs them); one pass in the common case."""
-    def probs(k):
-        return F.array(*[F.lit(i / k) for i in range(1, k)]) if k > 1 else F.array(F.lit(0.5))
+def _splits(d: DataFrame, value: str, bins: int) -> tuple[list[float], int]:
+    """Equi-depth split points for ``bins`` bins, and the number of rows; one pass."""
+    probs = F.array(*[F.lit(i / bins) for i in range(1, bins)]) if bins > 1 else F.array(F.lit(0.5))
     row = d.agg(F.count(F.lit(1)).alias("n"),
-                F.percentile_approx(value, probs(bins), 4 * bins).alias("q")).first()
-    need = min(MAX_BINS, max(bins, -(-int(row["n"]) // ROWS_PER_BIN)))
-    qs = row["q"] or []
-    if need > bins:
-        qs = d.approxQuantile(value, [i / need for i in range(1, need)], 1.0 / (4 * need))
-    if bins <= 1 and need <= 1:
-        qs = []
+                F.percentile_approx(value, probs, 4 * bins).alias("q")).first()
+    qs = row["q"] or [] if bins > 1 else []
     inner = sorted({float(q) for q in qs if q is not None})
-    return [float("-inf")] + inner + [float("inf")]
+    return [float("-inf")] + inner + [float("inf")], int(row["n"])
+
+
+def _cut_overfull(binned: DataFrame, keys: list[str], rows_per_bin: int) -> DataFrame:
+    """Cut bins until no (keys, _bin) group has more than ``rows_per_bin`` rows.
+
+    Each round finds the overfull groups and cuts their bins at quantiles of
+    these groups' own values: a value is there once per group, so at least two
+    different cuts come out and every round makes the groups smaller.
+    ``_bin`` keeps the order of the values.
+    """
+    probs = F.array(*[F.lit(i / CUTS) for i in range(1, CUTS)])
+    group = F.struct(*keys, "_bin")              # null keys are equal inside a struct
+    steps = [1 << i for i in range(CUTS.bit_length() - 1, -1, -1)]
+    find = ("aggregate(array(" + ", ".join(map(str, steps)) + "), 0, (p, s) -> "
+            "IF(coalesce(get(_cuts, p + s - 1) <= _v, false), p + s, p))")
+    while True:
+        full = materialize(binned.groupBy(group.alias("_g")).agg(F.count(F.lit(1)).alias("_n"))
+                           .where(F.col("_n") > rows_per_bin).select("_g"))
+        if full.isEmpty():
+            return binned
+        cuts = (binned.withColumn("_g", group).join(broadcast_if_small(full), "_g", "left_semi")
+                .groupBy("_bin")
+                .agg(F.array_distinct(F.percentile_approx("_v", probs, 4 * CUTS)).alias("_cuts")))
+        binned = (binned.join(broadcast_if_small(cuts), "_bin", "left")
+                  .withColumn("_bin", F.col("_bin") * BIN_STEP + F.expr(find)).drop("_cuts"))
 
 
 def value_prefix(d: DataFrame, keys: list[str], value: str, counts: list[str],
-                 bins: int = DEFAULT_BINS, materialized: bool = False) -> DataFrame:
+                 bins: int = DEFAULT_BINS, materialized: bool = False,
+                 rows_per_bin: int | None = None) -> DataFrame:
     """Add ``<c>_below`` for each count column ``c``.
 
     ``d`` holds one row per distinct ``(keys, value)`` (value not NULL) with
@@ -60,23 +81,28 @@ def value_prefix(d: DataFrame, keys: list[str], value: str, counts: list[str],
     if not materialized:
         d = materialize(d)
     d = d.withColumn("_v", F.col(value).cast("double"))
-    splits = _splits(d, "_v", bins)
+    splits, n = _splits(d, "_v", bins)
     if len(splits) < 3:                 # no or one distinct split point: a single bin
-        binned = d.withColumn("_bin", F.lit(0)).drop("_v")
+        binned = d.withColumn("_bin", F.lit(0).cast("bigint"))
     else:
         binned = (Bucketizer(splits=splits, inputCol="_v", outputCol="_binf",
                              handleInvalid="keep")   # NaN: an extra last bin
-                  .transform(d).withColumn("_bin", F.col("_binf").cast("int"))
-                  .drop("_binf", "_v"))
+                  .transform(d).withColumn("_bin", F.col("_binf").cast("bigint"))
+                  .drop("_binf"))
+    target = ROWS_PER_BIN if rows_per_bin is None else rows_per_bin
+    many = n > bins * target            # bins of equal depth are overfull
+    if many:
+        binned = _cut_overfull(binned, keys, target)
+    binned = binned.drop("_v")
     totals = binned.groupBy(*keys, "_bin").agg(*[F.sum(c).alias(f"_t_{c}") for c in counts])
     wbin = Window.partitionBy(*keys).orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
     before_bin = totals.select(*keys, "_bin", *[
         F.coalesce(F.sum(f"_t_{c}").over(wbin), F.lit(0)).alias(f"_bb_{c}") for c in counts])
-    # keys x bins rows: bounded by ``bins`` alone when there are no keys,
-    # otherwise broadcast after a size check. Joining it by shuffle would
+    # keys x bins rows: bounded by ``bins`` alone when there are no keys and
+    # no further cuts, otherwise broadcast after a size check. Joining it by shuffle would
     # hash the value table by the keys, and a key (an experiment arm) can
     # hold half of all rows.
-    before_bin = F.broadcast(before_bin) if not keys else broadcast_if_small(before_bin)
+    before_bin = F.broadcast(before_bin) if not keys and not many else broadcast_if_small(before_bin)
     joined = binned.join(before_bin, [*keys, "_bin"])
     win = (Window.partitionBy(*keys, "_bin").orderBy(value)
            .rowsBetween(Window.unboundedPreceding, -1))
