@@ -38,7 +38,7 @@ def test_input_order_does_not_change_results(spark, baseline):
     shuffled = feed.repartition(13, F.rand(11)).sortWithinPartitions(F.rand(5))
     assert _rows(audience.weekly_audience(shuffled, E.AS_OF)) == baseline["weekly_audience"]
     users = experiment.user_ctr(shuffled, E.EXP_START, E.EXP_END)
-    got = stats.mwu_stats(users, "exp_group", "ctr", E.TREATMENT, E.CONTROL)
+    got = stats.mann_whitney(users, "exp_group", "ctr", E.TREATMENT, E.CONTROL)
     assert _rows(E._r6(got)) == baseline["mwu_ctr"]
 
 
