@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 
 from ..functions.dates import as_date, time_between
 from ..functions.hashing import hash_bucket
-from ..session import broadcast_if_small, materialize
-from .ranks import exact_quantiles
+from ..session import broadcast_if_small
+from .ranks import compress, compressed_quantiles
 
 DEFAULT_ARMS = (1, 2)
 SMOOTHING_ALPHA = 5.0
@@ -43,16 +43,16 @@ def arm_summary(users: DataFrame, value_col: str = "ctr", group_col: str = "exp_
     """Per arm: n_users, n_null, mean, median, stddev of ``value_col``.
 
     The median is exact (average of the middle pair for even counts) and is
-    computed with distributed prefix counts, not by gathering an arm's values.
+    computed with distributed prefix counts, not by gathering an arm's values. ``users`` is
+    read once: everything follows from its distinct values and their counts.
     """
+    d = compress(users, [group_col], value_col)
     v = F.col(value_col)
-    base = users.groupBy(group_col).agg(
-        F.count(F.lit(1)).alias("n_users"),
-        F.count_if(v.isNull()).alias("n_null"),
-        F.avg(v).alias("mean"),
-        F.stddev_samp(v).alias("stddev"))
-    med = exact_quantiles(users, [group_col], value_col, {"median": 0.5}, method="linear")
-    return (base.join(med, group_col, "left")
+    base = d.groupBy(group_col).agg(
+        F.sum("_c").alias("n_users"),
+        F.sum(F.when(v.isNull(), F.col("_c")).otherwise(0)).alias("n_null"))
+    stats = compressed_quantiles(d, [group_col], value_col, {"median": 0.5}, moments=True)
+    return (base.join(stats, group_col, "left")
             .select(group_col, "n_users", "n_null", "mean", "median", "stddev")
             .orderBy(group_col))
 
@@ -90,11 +90,12 @@ def bucket_ctr(users: DataFrame, n: int = 50, q: float = 0.9, hash_method: str =
     Columns: exp_group, bucket, bucket_ctr, ctr9. Empty buckets are absent;
     buckets whose users have no views get NULL in both metrics.
     """
-    # read twice below (bucket sums, p90 ranks): compute the per-user rows once
-    ub = materialize(users.withColumn("bucket", hash_bucket("user_id", n, hash_method)))
-    agg = (ub.groupBy(group_col, "bucket")
+    # one pass over the users; the sums and the p90 ranks both follow from the distinct values
+    d = compress(users.withColumn("bucket", hash_bucket("user_id", n, hash_method)),
+                 [group_col, "bucket"], "ctr", {"likes": F.col("likes"), "views": F.col("views")})
+    agg = (d.groupBy(group_col, "bucket")
            .agg(F.try_divide(F.sum("likes"), F.sum("views")).alias("bucket_ctr")))
-    p90 = exact_quantiles(ub, [group_col, "bucket"], "ctr", {"ctr9": q}, method="element")
+    p90 = compressed_quantiles(d, [group_col, "bucket"], "ctr", {"ctr9": q}, method="element")
     return (agg.join(p90, [group_col, "bucket"], "left")
             .select(group_col, "bucket", "bucket_ctr", "ctr9")
             .orderBy(group_col, "bucket"))

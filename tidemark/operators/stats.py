@@ -9,6 +9,7 @@ column expression (the exact Mann-Whitney p of a small sample is Python). Test o
 from __future__ import annotations
 
 import math
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,7 +19,7 @@ from ..functions.hashing import uniform_u32
 from ..functions.poisson import (level_draw, poisson_levels, poisson_weight, poisson_weight_hex,
                                  split_mean)
 from ..session import default_parallelism
-from .ranks import exact_quantiles, value_prefix
+from .ranks import compress, compressed_quantiles, profile, value_prefix
 
 ALPHA = 0.05
 
@@ -248,21 +249,22 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins="auto") -> Da
 
     Columns: [by,] bin (1-based), bin_lo, bin_hi, n. Every (group, bin) pair
     is present (zero counts included); the last bin includes its upper edge.
-    ``bins`` is a count or 'auto'. The range (and quartiles for 'auto') is
-    one aggregate row read back to size the bins; the counting is a normal
-    grouped aggregation.
+    ``bins`` is a count or 'auto'. ``df`` is read once, into its distinct values and
+    their counts; the range (and quartiles for 'auto') is
+    one row of these read back to size the bins, and the bins are sums over them.
     """
     # NULL and NaN are left out, as the charting default does
-    vals = df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col)))
-    row = vals.agg(F.count(F.lit(1)).alias("n"), F.min(col).alias("lo"),
-                   F.max(col).alias("hi")).first()
-    n, lo, hi = int(row["n"]), row["lo"], row["hi"]
+    keys = [by] if by else []
+    d = compress(df.where(F.col(col).isNotNull() & ~F.isnan(F.col(col))), keys, col)
+    seen = profile(d, keys, col, count=F.col("_c"))
+    n, lo, hi = seen.total, seen.lo, seen.hi
     if n == 0:
         lo, hi = 0.0, 1.0
-    lo, hi = float(lo), float(hi)
     if bins == "auto":
-        if hi > lo:
-            qr = exact_quantiles(vals, [], col, {"q1": 0.25, "q3": 0.75}).first()
+        if hi > lo and n:
+            # quartiles over all groups; the splits of the grouped rows cut these as well
+            every = d.groupBy(col).agg(F.sum("_c").alias("_c")) if by else d
+            qr = compressed_quantiles(every, [], col, {"q1": 0.25, "q3": 0.75}, known=replace(seen, groups=1)).first()
             nb = _auto_bins(n, lo, hi, qr["q1"], qr["q3"])
         else:
             nb = 1
@@ -273,10 +275,9 @@ def histogram(df: DataFrame, col: str, by: str | None = None, bins="auto") -> Da
     width = (hi - lo) / nb
     b = F.least(F.floor((F.col(col) - F.lit(lo)) * F.lit(nb) / F.lit(hi - lo)) + 1,
                 F.lit(nb)).cast("int")
-    keys = [by] if by else []
-    counts = vals.groupBy(*keys, b.alias("bin")).agg(F.count(F.lit(1)).alias("n"))
+    counts = d.groupBy(*keys, b.alias("bin")).agg(F.sum("_c").alias("n"))
     if by:
-        grid = vals.select(by).distinct()
+        grid = d.select(by).distinct()
     else:
         grid = df.sparkSession.range(1).select()
     grid = grid.select(*keys, F.explode(F.sequence(F.lit(1), F.lit(nb))).alias("bin"))
