@@ -353,3 +353,32 @@ def digest(hits: DataFrame) -> DataFrame:
     return hits.select("doc_id", "n_words", "n_hit", "n_items",
                        F.sha2(F.array_join("items", ",").cast("binary"), 256).alias("items_sha256"),
                        (F.col("n_hit") > 0).alias("contaminated"), "longest")
+
+
+def oracle_sql() -> str:
+    """The contract's columns by a plain join of windows, for DuckDB over ``documents`` and ``benchmark``."""
+    def word_list(text: str) -> str:
+        folded = f"translate(COALESCE({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+        return f"regexp_extract_all({folded}, '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"
+
+    return f"""
+WITH items AS (
+    SELECT item_id, ws, CAST(least({Rules().window}, len(ws)) AS BIGINT) AS size
+    FROM (SELECT item_id, {word_list('text')} AS ws FROM benchmark) WHERE len(ws) > 0),
+windows AS (
+    SELECT DISTINCT item_id, size, array_to_string(ws[s:s + size - 1], ' ') AS words
+    FROM (SELECT item_id, ws, size, UNNEST(range(1, len(ws) - size + 2)) AS s FROM items)),
+docs AS (SELECT doc_id, {word_list('text')} AS ws FROM documents),
+runs AS (
+    SELECT doc_id, size, s, array_to_string(ws[s:s + size - 1], ' ') AS words
+    FROM (SELECT doc_id, ws, size, UNNEST(range(1, len(ws) - size + 2)) AS s
+          FROM docs, (SELECT DISTINCT size FROM windows) WHERE len(ws) >= size)),
+found AS (SELECT r.doc_id, r.s, r.size, w.item_id FROM runs r JOIN windows w USING (size, words)),
+hit AS (SELECT doc_id, COUNT(DISTINCT place) AS n_hit
+        FROM (SELECT doc_id, UNNEST(range(s, s + size)) AS place FROM (SELECT DISTINCT doc_id, s, size FROM found))
+        GROUP BY doc_id),
+named AS (SELECT doc_id, COUNT(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+          FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS item FROM found) GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(d.ws) AS BIGINT) AS n_words, COALESCE(n_hit, 0) AS n_hit, COALESCE(n_items, 0) AS n_items,
+       sha256(COALESCE(items, '')) AS items_sha256, COALESCE(n_hit, 0) > 0 AS contaminated
+FROM docs d LEFT JOIN hit USING (doc_id) LEFT JOIN named USING (doc_id)"""

@@ -225,6 +225,26 @@ def read_archives(spark: SparkSession, path: str, payloads: bool = True) -> Data
 def round_trip(pages: DataFrame, payloads: bool = False) -> DataFrame:
     """Write the pages' archives into the shared checkpoint folder and read them back."""
     spark = pages.sparkSession
-    path = f"{checkpoint_dir(spark)}/warc-{uuid.uuid4().hex}"
+    shared = checkpoint_dir(spark)
+    if not shared:
+        raise RuntimeError("archives are written to a shared folder: set spark.checkpoint.dir")
+    path = f"{shared.rstrip('/')}/warc-{uuid.uuid4().hex}"
     write_archives(pages, path)
     return read_archives(spark, path, payloads)
+
+
+def oracle_sql() -> str:
+    """What reading the archives of ``pages`` back gives, for DuckDB (without archives)."""
+    return f"""
+WITH payloads AS (
+    SELECT page_id, COALESCE(html, '') AS payload, sha1(COALESCE(html, '')) AS hex,
+           CASE WHEN strlen(COALESCE(html, '')) >= {MIN_REVISIT}
+                THEN MAX(page_id) OVER (PARTITION BY COALESCE(html, '')) END AS kept
+    FROM pages)
+SELECT page_id, CAST(strlen(payload) AS BIGINT) AS payload_bytes,
+       array_to_string([substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((
+           CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS INTEGER) >> CAST(15 - 5 * (i % 4) AS INTEGER)) & 31), 1)
+           FOR i IN range(32)], '') AS payload_digest,
+       CASE WHEN page_id < kept THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id < kept THEN kept END AS refers_to
+FROM payloads"""
