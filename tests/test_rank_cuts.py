@@ -45,3 +45,21 @@ def test_quantiles_over_cut_bins(spark, monkeypatch):
     df = spark.createDataFrame([(float(x),) for x in xs], "v double")
     got = ranks.exact_quantiles(df, [], "v", {"q1": 0.25, "m": 0.5, "q9": 0.9}, bins=16).first()
     assert [got["q1"], got["m"], got["q9"]] == pytest.approx(list(np.quantile(xs, [0.25, 0.5, 0.9])))
+
+
+@pytest.mark.parametrize("broadcast_rows", [0, 100_000])
+def test_one_compressed_frame_gives_moments_and_quantiles(spark, monkeypatch, broadcast_rows):
+    """Both ways to broadcast the prefixes; a group of one value, one of nulls only, means far apart."""
+    import numpy as np
+    monkeypatch.setattr(ranks, "BROADCAST_ROWS", broadcast_rows)
+    rng = np.random.default_rng(7)
+    values = {"near": rng.integers(0, 9, 500) / 8, "far": 1e9 + rng.integers(0, 4, 300), "one": np.array([2.5])}
+    rows = [(g, float(x)) for g, xs in values.items() for x in xs] + [("near", None), ("none", None)]
+    d = ranks.compress(spark.createDataFrame(rows, "g string, v double"), ["g"], "v")
+    assert d.where("g = 'near'").count() == 10 and d.where("v is null").agg(F.sum("_c")).first()[0] == 2
+    got = {r["g"]: r for r in
+           ranks.compressed_quantiles(d, ["g"], "v", {"m": 0.5}, bins=4, moments=True).collect()}
+    assert set(got) == set(values)
+    for g, xs in values.items():
+        assert got[g]["m"] == pytest.approx(np.median(xs)) and got[g]["mean"] == pytest.approx(xs.mean())
+        assert got[g]["stddev"] == (None if len(xs) == 1 else pytest.approx(xs.std(ddof=1), rel=1e-6))
