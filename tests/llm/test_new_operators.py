@@ -185,6 +185,63 @@ def test_large_groups_are_counted_before_they_are_paired():
     assert dict(zip(key.tolist(), times.tolist())) == want and key.tolist() == sorted(want)
 
 
+class CountedEncoder:
+    def __init__(self, encoder):
+        self.encoder, self.seen = encoder, 0
+
+    def encode_ordinary(self, text):
+        self.seen += len(text)
+        return self.encoder.encode_ordinary(text)
+
+
+def test_stretches_of_a_batch_are_encoded_once(monkeypatch):
+    pairing = alignment.Pairing(stretches=11)
+    t = alignment.tokenizers(pairing)
+    texts = ["the same words again and again"] * 20 + ["again the same words"] * 20
+    counted = CountedEncoder(t.a)
+    monkeypatch.setattr(t, "a", counted)
+    rows = alignment.align_texts(texts, pairing)
+    assert counted.seen == len(" the same words again and")
+    assert len(set(rows)) == 2 and rows == [rows[0]] * 20 + [rows[20]] * 20
+
+
+def test_stretches_begin_where_both_tokenizers_cut():
+    t = alignment.tokenizers(alignment.Pairing())
+    spaces = [chr(c) for c in range(0x10000) if chr(c).isspace() or c in (0, 0x7F, 0x180E, 0x200B, 0xFEFF)]
+    texts = [f"{x}{c}{y} z{c}" for c in ["é", "中", "😀", "'", *spaces] for x in ("a", "", " ") for y in ("", " ", "  ", f"{c} ")]
+    code, begin, stretches, size, closed = alignment._cut(texts)
+    assert size.tolist() == [len(x.encode()) for x in stretches] and len(set(stretches)) == len(stretches)
+    assert not any(x[-1].isspace() for x in stretches[:closed])
+    ids = t.encode(stretches, size, closed)
+    parts = [np.split(x, np.cumsum(n)[:-1]) for x, n in ((ids.a, ids.n_a), (ids.b, ids.n_b))]
+    assert ids.good.all()
+    for text, lo, hi in zip(texts, begin, begin[1:]):
+        own = code[lo:hi].tolist()
+        assert "".join(stretches[k] for k in own) == f" {text}"
+        assert [i for k in own for i in parts[0][k].tolist()] == t.a.encode_ordinary(f" {text}"), repr(text)
+        assert [i for k in own for i in parts[1][k].tolist()] == t.b.encode(text), repr(text)
+
+
+@pytest.mark.parametrize("many", [1, 40, 1 << 21])
+@pytest.mark.parametrize("large", [1, 4096])
+def test_documents_are_paired_alike_in_any_slices(monkeypatch, many, large):
+    texts = [x or "" for x in aligned_texts()[:132]]
+    want = alignment.align_texts(texts, alignment.Pairing())
+    assert want == [alignment.align_texts([x], alignment.Pairing())[0] for x in texts]
+    monkeypatch.setattr(alignment, "MANY", many)
+    monkeypatch.setattr(alignment, "LARGE", large)
+    assert alignment.align_texts(texts, alignment.Pairing()) == want
+
+
+def test_a_stretch_that_b_changes_leaves_its_texts_without_tokens(monkeypatch):
+    pairing = alignment.Pairing(stretches=12)
+    t = alignment.tokenizers(pairing)
+    plain = alignment.align_texts(["left alone", "other"], pairing)
+    monkeypatch.setattr(t, "b_bytes", [b"X" if x == b"'" else x for x in t.b_bytes])
+    assert alignment.align_texts(["left alone", "don't go", "other", "isn't"], pairing) == [
+        plain[0], alignment._NONE, plain[1], alignment._NONE]
+
+
 def test_equal_rows_are_spread_over_parts(spark):
     df = spark.createDataFrame([(None, "the same words")] * 300, "doc_id long, text string").coalesce(1)
     parts = alignment._aligned(df, alignment.Pairing(copies=20), 50).groupBy("part").count().collect()

@@ -2,20 +2,22 @@
 
 A byte-level BPE (A) and a piece model (B) cut the same bytes differently.
 Byte offsets where tokens of both end cut a text into groups; the tokens of a
-group are linked with each other. All texts of a batch are merged in lockstep: one
+group are linked with each other. Texts are cut into stretches that begin at a space after a character that is
+no white space: no token of A or B has such a place inside and merges never cross one, so a stretch has the ids
+that it has in the text, and its end ends a group. The distinct stretches of a batch are encoded once
+and merged in lockstep: one
 state vector holds an A and a B pointer per lane, and a step moves every pointer
 whose token ends first, emits the overlapping pair, and a cut where both end; finished lanes are
-taken out. A text is a lane; a long one is several, begun at ends that both tokenizers share, so the
-number of steps does not follow the longest text.
+taken out. A stretch is a lane; a long one is several, begun at ends that both tokenizers share, so the
+number of steps does not follow the longest stretch. Documents are put together from their stretches.
 
 How often a pair of ids is linked is counted over the corpus (documents that hold it):
 parts of some ``part_bytes`` of text report their distinct pairs to buckets by A id, buckets
 add them up and answer each part, and every document adds up the counts of its links. Texts are
 tokenized once; what travels is a compressed list of pairs per document.
 
-B is encoded by stretches that begin at a space after another character: no piece has such a place inside, and
-merges never cross one, so each stretch's ids are those it has in the text, and a worker
-looks up the stretches it has met. A's ranks give the ids of its JSON file (both are checked by tests).
+A worker looks up B's ids of the stretches it has met. A's ranks give the ids of its JSON file (both are
+checked by tests).
 
 Defined cases: texts null, empty, or whose joined token bytes differ from space + text (those with
 U+2581) have no tokens: all numbers are 0, the digest is ''. Repeated documents each get a row and count
@@ -27,9 +29,9 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -51,8 +53,70 @@ class Pairing:
     stretches: int = 400_000               # of B that a worker remembers
 
 
+# ------------------------------------------------------------------ stretches
+
+#: UTF-8 of white space beyond ASCII, as numbers of two and of three bytes.
+_WIDE_SPACE = [np.array([int.from_bytes(x) for x in (chr(c).encode() for c in range(0x80, 0x10000)
+                                                    if chr(c).isspace()) if len(x) == n], np.int64) for n in (2, 3)]
+
+
+def _solid(buf: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the character that ends with byte ``at`` is neither white space nor an ASCII control character."""
+    last = buf[at]
+    out = last > 0x20
+    wide = np.flatnonzero(last >= 0x80)
+    if len(wide):
+        x = sum(buf[np.maximum(at[wide] - k, 0)].astype(np.int64) << (8 * k) for k in range(3))
+        out[wide] = ~(np.isin(x & 0xFFFF, _WIDE_SPACE[0]) | np.isin(x, _WIDE_SPACE[1]))
+    return out
+
+
+def _cut(texts: list[str]) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray, int]:
+    """Stretches of every text with a space in front: their numbers among the distinct ones, where each
+    text's begin (one more than texts), the distinct ones and their bytes, and how many of them end in a
+    character that is no white space; those come first."""
+    raw = [f" {x}".encode() for x in texts]
+    buf = np.frombuffer(b"".join(raw), np.uint8)
+    docs = np.concatenate(([0], np.cumsum([len(x) for x in raw])))
+    at = np.flatnonzero(buf == 0x20)[1:]
+    starts = np.zeros(len(buf), bool)
+    starts[at[_solid(buf, at - 1)]] = starts[docs[:-1]] = True
+    begin = np.flatnonzero(starts)
+    bounds = np.append(begin, len(buf)).astype(np.int64)
+    coded = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin),
+                                             [None, pa.py_buffer(bounds), pa.py_buffer(buf)]).dictionary_encode()
+    code, stretches = coded.indices.to_numpy(), coded.dictionary.cast(pa.large_string())
+    closed = np.zeros(len(stretches), bool)
+    closed[code] = _solid(buf, bounds[1:] - 1)
+    order = np.argsort(~closed, kind="stable")
+    place = np.empty(len(order), np.int64)
+    place[order] = np.arange(len(order))
+    size = np.zeros(len(order), np.int64)
+    size[place[code]] = np.diff(bounds)
+    names = stretches.take(pa.array(order)).to_numpy(zero_copy_only=False).tolist()
+    return place[code], np.searchsorted(begin, docs), names, size, int(closed.sum())
+
+
+def _runs(begin: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Indices begin, begin + 1, ... (``n`` of them) of every run, one run after the other."""
+    return np.repeat(begin - (np.cumsum(n) - n), n) + np.arange(n.sum())
+
+
 # ------------------------------------------------------------------ tokenizers
 
+REMEMBERED = 64  # characters of a stretch that a worker remembers at most
+
+
+@dataclass(frozen=True)
+class Encoded:
+    """Ids of stretches laid end to end, and how many each has."""
+    a: np.ndarray
+    n_a: np.ndarray
+    b: np.ndarray
+    n_b: np.ndarray
+    good: np.ndarray
+
+
 def _path(name: str) -> str:
     import public_tokenizers
 
@@ -80,33 +144,49 @@ class Tokenizers:
         self.known: dict[str, list[int]] = {}
         self.limit = pairing.stretches
         a, b = len(self.a_bytes), len(self.b_bytes)
-        self.names = np.array([f"{mark}{i}" for mark in ",;" for i in range(a)]
-                              + [f"{mark}{i}" for mark in "|," for i in range(b)], object)
+        self.names = pa.array([f"{mark}{i}" for mark in ",;" for i in range(a)]
+                              + [f"{mark}{i}" for mark in "|," for i in range(b)], pa.large_string())
 
     def _piece(self, i: int) -> bytes:
         piece = self.b.id_to_piece(i)
         return bytes([int(piece[3:5], 16)]) if self.b.is_byte(i) else piece.replace("▁", " ").encode()
 
-    def encode_b(self, text: str) -> list[int]:
-        """B's ids of ``text``, which has no U+2581."""
-        known, out = self.known, []
-        for stretch in re.findall(" +[^ ]*", f" {text}"):
-            ids = known.get(stretch)
-            if ids is None:
-                if len(known) >= self.limit:
-                    known.clear()
-                ids = known[stretch] = self.b.encode(stretch[1:]) if len(stretch) > 1 else [self.space]
-            out += ids
-        return out
-
-    def encode(self, text: str) -> tuple[np.ndarray, np.ndarray] | None:
-        """Ids by A and B; None if the text has no tokens by both."""
-        if not text or "▁" in text:
-            return None
-        a, b, raw = self.a.encode_ordinary(f" {text}"), self.encode_b(text), f" {text}".encode()
-        if b"".join(map(self.a_bytes.__getitem__, a)) != raw or b"".join(map(self.b_bytes.__getitem__, b)) != raw:
-            return None
-        return np.array(a, np.int64), np.array(b, np.int64)
+    def _ids_a(self, stretches: list[str], size: np.ndarray, closed: int) -> tuple[np.ndarray, np.ndarray]:
+        """A's ids of ``stretches``, one after the other, and how many each has.
+
+        The first ``closed`` are encoded in one go; the others end in white space, whose tokens depend on what follows.
+        """
+        joined = np.array(self.a.encode_ordinary("".join(stretches[:closed])), np.int64)
+        last = np.searchsorted(np.cumsum(self.a_size[joined]), np.cumsum(size[:closed]))
+        alone = [self.a.encode_ordinary(x) for x in stretches[closed:]]
+        return (np.concatenate([joined, *(np.array(x, np.int64) for x in alone)]),
+                np.concatenate([np.diff(last, prepend=-1), np.array(list(map(len, alone)), np.int64)]))
+
+    def _ids_b(self, stretches: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """B's ids of ``stretches``, which have no U+2581, one after the other, and how many each has."""
+        known = self.known
+        ids = list(map(known.get, stretches))
+        new = [i for i, x in enumerate(ids) if x is None]
+        names = [stretches[i] for i in new]
+        for i, x in zip(new, self.b.encode([x[1:] for x in names], num_threads=1) if names else [], strict=True):
+            ids[i] = x or [self.space]
+        keep = [(x, ids[i]) for x, i in zip(names, new, strict=True) if len(x) <= REMEMBERED][:self.limit]
+        if len(known) + len(keep) > self.limit:
+            known.clear()
+        known.update(keep)
+        many = np.array(list(map(len, ids)), np.int64)
+        return np.fromiter(chain.from_iterable(ids), np.int64, int(many.sum())), many
+
+    def encode(self, stretches: list[str], size: np.ndarray, closed: int) -> Encoded:
+        """Ids of distinct stretches of ``size`` bytes; those that B does not give back byte by byte are not ``good``."""
+        a, n_a = self._ids_a(stretches, size, closed)
+        b, n_b = self._ids_b(stretches)
+        good = np.cumsum(self.b_size[b])[np.cumsum(n_b) - 1] == np.cumsum(size)
+        if not good.all() or b"".join(map(self.b_bytes.__getitem__, b.tolist())) != "".join(stretches).encode():
+            at = np.concatenate(([0], np.cumsum(n_b))).tolist()
+            good = np.array([b"".join(map(self.b_bytes.__getitem__, b[lo:hi].tolist())) == x.encode()
+                             for lo, hi, x in zip(at, at[1:], stretches)], bool)
+        return Encoded(a, n_a, b, n_b, good)
 
 
 _tokenizers: dict[Pairing, Tokenizers] = {}
@@ -225,36 +305,117 @@ ALIGNED = ("doc_id long, n_a long, n_b long, n_groups long, n_links long, n_over
 _NONE = (0, 0, 0, 0, 0, "", _pack(np.zeros(0, np.int64), np.zeros(0, np.int64)))
 
 
+@dataclass(frozen=True)
+class Stretches:
+    """The distinct stretches of some texts: their tokens, groups, links and names in the digest."""
+    ids: Encoded
+    a_from: np.ndarray       # first A token; so with B
+    b_from: np.ndarray
+    groups_from: np.ndarray  # first group
+    n_groups: np.ndarray
+    group_a: np.ndarray      # A tokens of every group; so with B
+    group_b: np.ndarray
+    n_links: np.ndarray
+    large: np.ndarray        # whether a group has more than ``LARGE`` links
+    n_overlaps: np.ndarray
+    names: pa.Array          # of the groups, each after ";"
+
+    @classmethod
+    def of(cls, ids: Encoded, t: Tokenizers, lane: int) -> Stretches:
+        a, b = ids.a, ids.b
+        a_end, b_end = np.cumsum(ids.n_a), np.cumsum(ids.n_b)
+        link_i, _, cut_i, cut_j = lockstep(np.cumsum(t.a_size[a]), np.cumsum(t.b_size[b]), a_end - 1, lane)
+        own = np.repeat(np.arange(len(a_end)), ids.n_a)  # stretch of an A token
+        # names in the order of the digest: a group's A ids, then its B ids, each with the mark before it
+        na, nb = len(t.a_bytes), len(t.b_bytes)
+        first_a, first_b = np.zeros(len(a), np.int64), np.full(len(b), na * 2 + nb)
+        begin_a, begin_b = np.concatenate(([0], cut_i[:-1] + 1)), np.concatenate(([0], cut_j[:-1] + 1))
+        first_a[begin_a], first_b[begin_b] = na, na * 2
+        order = np.empty(len(a) + len(b), np.int64)  # tokens of the groups before stand in front
+        order[np.arange(len(a)) + np.repeat(begin_b, cut_i + 1 - begin_a)] = first_a + a
+        order[np.arange(len(b)) + np.repeat(cut_i + 1, cut_j + 1 - begin_b)] = first_b + b
+        n_groups = np.bincount(own[cut_i], minlength=len(a_end))
+        group_end = np.cumsum(n_groups)
+        group_a, group_b = cut_i + 1 - begin_a, cut_j + 1 - begin_b
+        links = group_a * group_b
+        at = group_end - n_groups
+        return cls(ids, a_end - ids.n_a, b_end - ids.n_b, at, n_groups, group_a, group_b, np.add.reduceat(links, at),
+                   np.maximum.reduceat(links, at) > LARGE, np.bincount(own[link_i], minlength=len(a_end)),
+                   _strings(t.names.take(pa.array(order)), np.concatenate(([0], a_end + b_end))))
+
+    def links(self, wide: int) -> np.ndarray:
+        """Linked id pairs (a * wide + b) of all stretches, one after the other."""
+        begin_a, begin_b = np.cumsum(self.group_a) - self.group_a, np.cumsum(self.group_b) - self.group_b
+        n = self.group_a * self.group_b
+        nth = _runs(np.zeros(len(n), np.int64), n)
+        n_b = np.repeat(self.group_b, n)
+        return self.ids.a[np.repeat(begin_a, n) + nth // n_b] * wide + self.ids.b[np.repeat(begin_b, n) + nth % n_b]
+
+    def pairs(self, code: np.ndarray, wide: int) -> tuple[np.ndarray, np.ndarray]:
+        """``_pairs`` of the document of these stretches, group by group."""
+        ids, groups = self.ids, _runs(self.groups_from[code], self.n_groups[code])
+        return _pairs(ids.a[_runs(self.a_from[code], ids.n_a[code])], ids.b[_runs(self.b_from[code], ids.n_b[code])],
+                      np.cumsum(self.group_a[groups]), np.cumsum(self.group_b[groups]), wide)
+
+
+def _strings(names: pa.Array, bounds: np.ndarray) -> pa.Array:
+    """Names joined: one string of those from each bound to the next."""
+    at = np.frombuffer(names.buffers()[1], np.int64)[names.offset:names.offset + len(names) + 1][bounds]
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(bounds) - 1,
+                                            [None, pa.py_buffer(at), names.buffers()[2]])
+
+
+MANY = 1 << 21  # links that are paired in one go
+
+
+def _document_pairs(code: np.ndarray, begin: np.ndarray, s: Stretches, wide: int,
+                    high: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """``_pairs`` of every document, in order; ``code``: their stretches, ``begin``: where each document's begin.
+
+    Documents of some ``MANY`` links together are sorted in one go; pairs are below ``high``.
+    """
+    total = np.add.reduceat(s.n_links[code], begin[:-1])
+    link = None if s.large.any() or s.n_links.sum() > 2 * MANY else s.links(wide)
+    first_link = np.cumsum(s.n_links) - s.n_links
+    for docs in _slices(total, MANY):
+        if link is None or total[docs].sum() > 2 * MANY:
+            for d in docs.tolist():
+                yield s.pairs(code[begin[d]:begin[d + 1]], wide)
+            continue
+        own = code[begin[docs[0]]:begin[docs[-1] + 1]]
+        key = link[_runs(first_link[own], s.n_links[own])] + np.repeat(np.arange(len(docs)) * high, total[docs])
+        key.sort()
+        first = np.flatnonzero(np.diff(key, prepend=-1))
+        times = np.diff(first, append=len(key))
+        key = key[first]
+        bounds = np.searchsorted(key, np.arange(len(docs) + 1) * high).tolist()
+        for d, (x, y) in enumerate(zip(bounds, bounds[1:])):
+            yield key[x:y] - d * high, times[x:y]
+
+
 def align_texts(texts: list[str], pairing: Pairing) -> list[tuple]:
     """(n_a, n_b, n_groups, n_links, n_overlaps, groups_sha256, packed pairs) of every text."""
     t = tokenizers(pairing)
     out: list[tuple] = [_NONE] * len(texts)
-    ids = [(i, *both) for i, text in enumerate(texts) if (both := t.encode(text)) is not None]
-    if not ids:
+    use = [i for i, text in enumerate(texts) if text and "▁" not in text]
+    if not use:
+        return out
+    code, begin, stretches, size, closed = _cut([texts[i] for i in use])
+    ids = t.encode(stretches, size, closed)
+    if not ids.good.all():  # texts that do not come back byte by byte go, and so do their stretches
+        use = [use[k] for k in np.flatnonzero(np.logical_and.reduceat(ids.good[code], begin[:-1])).tolist()]
+        for i, row in zip(use, align_texts([texts[i] for i in use], pairing), strict=True):
+            out[i] = row
         return out
-    a, b = np.concatenate([x for _, x, _ in ids]), np.concatenate([x for _, _, x in ids])
-    a_end, b_end = np.cumsum([len(x) for _, x, _ in ids]), np.cumsum([len(x) for _, _, x in ids])
-    link_i, _, cut_i, cut_j = lockstep(np.cumsum(t.a_size[a]), np.cumsum(t.b_size[b]), a_end - 1, pairing.lane)
-    overlaps = np.bincount(np.searchsorted(a_end, link_i, side="right"), minlength=len(ids))
-    # names in the order of the digest: a group's A ids, then its B ids, each with the mark before it
-    na, nb = len(t.a_bytes), len(t.b_bytes)
-    first_a, first_b = np.zeros(len(a), np.int64), np.full(len(b), na * 2 + nb)
-    begin_a, begin_b = np.concatenate(([0], cut_i[:-1] + 1)), np.concatenate(([0], cut_j[:-1] + 1))
-    first_a[begin_a], first_b[begin_b] = na, na * 2
-    order = np.empty(len(a) + len(b), np.int64)  # tokens of the groups before stand in front
-    order[np.arange(len(a)) + np.repeat(begin_b, cut_i + 1 - begin_a)] = first_a + a
-    order[np.arange(len(b)) + np.repeat(cut_i + 1, cut_j + 1 - begin_b)] = first_b + b
-    names = t.names[order]
-    group_end = np.searchsorted(cut_i, a_end - 1) + 1
-    lo_a = lo_b = lo_g = 0
-    for k, (i, x, y) in enumerate(ids):
-        hi_a, hi_b, hi_g = int(a_end[k]), int(b_end[k]), int(group_end[k])
-        cut_a, cut_b = cut_i[lo_g:hi_g] + 1 - lo_a, cut_j[lo_g:hi_g] + 1 - lo_b
-        key, times = _pairs(x, y, cut_a, cut_b, nb)
-        text = "".join(names[lo_a + lo_b:hi_a + hi_b])[1:]  # without the mark before the first group
-        out[i] = (len(x), len(y), hi_g - lo_g, int(times.sum()), int(overlaps[k]),
-                  hashlib.sha256(text.encode()).hexdigest(), _pack(key, times))
-        lo_a, lo_b, lo_g = hi_a, hi_b, hi_g
+    s = Stretches.of(ids, t, pairing.lane)
+    n = [np.add.reduceat(x[code], begin[:-1]).tolist() for x in (ids.n_a, ids.n_b, s.n_groups, s.n_links, s.n_overlaps)]
+    names = s.names.take(pa.array(code))
+    text = memoryview(names.buffers()[2])
+    at = np.frombuffer(names.buffers()[1], np.int64)[begin].tolist()
+    pairs = _document_pairs(code, begin, s, len(t.b_bytes), len(t.a_bytes) * len(t.b_bytes))
+    for k, (i, both) in enumerate(zip(use, pairs, strict=True)):
+        digest = hashlib.sha256(text[at[k] + 1:at[k + 1]]).hexdigest()  # without the mark before the first group
+        out[i] = (*(x[k] for x in n), digest, _pack(*both))
     return out
 
 
